@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,10 +36,16 @@ def text_or(text: Column, default: Column | str) -> Column:
     return F.coalesce(text, default if isinstance(default, Column) else F.lit(default))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def decode_entities(text: Column) -> Column:
+    decoded = text
     for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def strip(text: Column) -> Column:
@@ -47,9 +53,9 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def markup_text(inner_html: Column) -> Column:
-    """Text of a fragment: each text node stripped, then glued together."""
-    nodes = F.split(inner_html, r"<[^>]*>")
+def markup_text(html: Column) -> Column:
+    """Text of an element or its inside: each text node stripped, then glued."""
+    nodes = F.split(html, r"<[^>]*>")
     return F.array_join(F.transform(nodes, lambda node: strip(decode_entities(node))), "")
 
 

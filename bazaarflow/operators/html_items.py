@@ -24,7 +24,7 @@ from bazaarflow.functions.urls import resolve_image, resolve_url
 from bazaarflow.operators.page_tree import (
     Node,
     child_items,
-    first,
+    elements,
     outer_html,
     read_page,
     text_of,
@@ -120,17 +120,24 @@ _ARROW_TYPES = [
 
 
 def _item_row(number: int, item: Node, spec: ItemSpec) -> tuple:
-    def child(css_class: str) -> Node | None:
-        return first(item, lambda node: css_class in node.classes)
-
-    date = child(spec.date_class)
-    link = first(item, lambda node: node.tag == "a")
+    """The first element of each kind, found in one walk over the item."""
+    by_class = {
+        spec.date_class: None, spec.price_class: None,
+        spec.location_class: None, spec.views_class: None,
+    }
+    link = image = None
+    for node in elements(item):
+        for css_class in node.classes:
+            if css_class in by_class and by_class[css_class] is None:
+                by_class[css_class] = node
+        if link is None and node.tag == "a":
+            link = node
+        if image is None and node.tag == spec.image_tag and spec.image_class in node.classes:
+            image = node
     title = link
     if link is not None and spec.title_tag:
-        title = first(link, lambda node: node.tag == spec.title_tag)
-    image = first(
-        item, lambda node: node.tag == spec.image_tag and spec.image_class in node.classes
-    )
+        title = next((node for node in elements(link) if node.tag == spec.title_tag), None)
+    date = by_class[spec.date_class]
     return (
         number,
         item.classes,
@@ -139,9 +146,9 @@ def _item_row(number: int, item: Node, spec: ItemSpec) -> tuple:
         link is not None,
         text_of(title),
         link.attributes.get("href") if link is not None else None,
-        text_of(child(spec.price_class)),
-        text_of(child(spec.location_class)),
-        text_of(child(spec.views_class)),
+        text_of(by_class[spec.price_class]),
+        text_of(by_class[spec.location_class]),
+        text_of(by_class[spec.views_class]),
         image is not None,
         image.attributes.get(spec.image_attribute) if image is not None else None,
     )
@@ -185,20 +192,24 @@ def _class_test(css_class: str) -> str:
     return rf"""(?=[^>]*?\sclass\s*=\s*["'](?:[^"']*\s)?{re.escape(css_class)}(?:\s[^"']*)?["'])"""
 
 
-def _element(source: Column, pattern: str, group: int) -> Column:
-    """A group of the first match; NULL (not '') when nothing matches."""
-    return F.when(source.rlike(pattern), F.regexp_extract(source, pattern, group))
+def _found(source: Column, pattern: str) -> Column:
+    """The first match, NULL if there is none. Patterns never match nothing."""
+    return F.nullif(F.regexp_extract(source, pattern, 0), F.lit(""))
+
+
+def _by_tag(source: Column, tag: str) -> Column:
+    return _found(source, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>")
 
 
-def _by_class(item: Column, css_class: str, group: int) -> Column:
-    pattern = rf"(?is)(<(\w+)\b{_class_test(css_class)}[^>]*>(.*?)</\2\s*>)"
-    return _element(item, pattern, group)
+def _by_class(source: Column, css_class: str) -> Column:
+    return _found(source, rf"(?is)<(\w+)\b{_class_test(css_class)}[^>]*>.*?</\1\s*>")
 
 
-def _attribute(tag_html: Column, name: str) -> Column:
-    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    value = F.concat(F.regexp_extract(tag_html, pattern, 1), F.regexp_extract(tag_html, pattern, 2))
-    return F.when(tag_html.rlike(pattern), decode_entities(value))
+def _attribute(element: Column, name: str) -> Column:
+    """An attribute of the element's own tag; NULL when it is not there."""
+    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*')"""
+    quoted = F.nullif(F.regexp_extract(element, pattern, 1), F.lit(""))
+    return decode_entities(F.substring(quoted, 2, F.length(quoted) - 2))
 
 
 def _read_native(pages: DataFrame, spec: ItemSpec, html: str) -> DataFrame:
@@ -213,37 +224,35 @@ def _read_native(pages: DataFrame, spec: ItemSpec, html: str) -> DataFrame:
     items = pages.select(*kept, F.posexplode(found).alias("item_no", "item"))
     item = F.col("item")
     inner = F.regexp_replace(item, r"(?s)^<[^>]*>", "")
-    link_pattern = r"(?is)(<a\b[^>]*>)(.*?)</a\s*>"
-    image_pattern = rf"(?is)(<{spec.image_tag}\b{_class_test(spec.image_class)}[^>]*>)"
-    elements = items.select(
-        *kept,
-        F.col("item_no").cast("long").alias("item_no"),
-        F.split(_or_empty(_element(item, _CLASS_OF, 1)), r"\s+").alias("classes"),
-        decode_entities(_by_class(inner, spec.date_class, 1)).alias("date_html"),
-        markup_text(_by_class(inner, spec.date_class, 3)).alias("date_text"),
-        _element(inner, link_pattern, 1).alias("link_tag"),
-        _element(inner, link_pattern, 2).alias("link_body"),
-        markup_text(_by_class(inner, spec.price_class, 3)).alias("price"),
-        markup_text(_by_class(inner, spec.location_class, 3)).alias("location"),
-        markup_text(_by_class(inner, spec.views_class, 3)).alias("views"),
-        _element(inner, image_pattern, 1).alias("image_tag"),
+    image_pattern = rf"(?is)<{spec.image_tag}\b{_class_test(spec.image_class)}[^>]*>"
+    elements = F.struct(
+        F.split(F.regexp_extract(item, _CLASS_OF, 1), r"\s+").alias("classes"),
+        _by_class(inner, spec.date_class).alias("date"),
+        _by_tag(inner, "a").alias("link"),
+        _by_class(inner, spec.price_class).alias("price"),
+        _by_class(inner, spec.location_class).alias("location"),
+        _by_class(inner, spec.views_class).alias("views"),
+        _found(inner, image_pattern).alias("image"),
     )
-    title = F.col("link_body")
-    if spec.title_tag:
-        title = _element(title, rf"(?is)<{spec.title_tag}\b[^>]*>(.*?)</{spec.title_tag}\s*>", 1)
-    return elements.select(
-        *kept, "item_no", "classes", "date_html", "date_text",
-        F.col("link_tag").isNotNull().alias("has_link"),
+    # A generator, so that filters above cannot copy the patterns into
+    # themselves and run them again for every use.
+    parts = items.select(*kept, "item_no", F.inline(F.array(elements)))
+    title = _by_tag(F.col("link"), spec.title_tag) if spec.title_tag else F.col("link")
+    fields = F.struct(
+        F.col("item_no").cast("long").alias("item_no"),
+        "classes",
+        decode_entities(F.col("date")).alias("date_html"),
+        markup_text(F.col("date")).alias("date_text"),
+        F.col("link").isNotNull().alias("has_link"),
         markup_text(title).alias("title"),
-        _attribute(F.col("link_tag"), "href").alias("href"),
-        "price", "location", "views",
-        F.col("image_tag").isNotNull().alias("has_image"),
-        _attribute(F.col("image_tag"), spec.image_attribute).alias("image_src"),
+        _attribute(F.col("link"), "href").alias("href"),
+        markup_text(F.col("price")).alias("price"),
+        markup_text(F.col("location")).alias("location"),
+        markup_text(F.col("views")).alias("views"),
+        F.col("image").isNotNull().alias("has_image"),
+        _attribute(F.col("image"), spec.image_attribute).alias("image_src"),
     )
-
-
-def _or_empty(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
+    return parts.select(*kept, F.inline(F.array(fields)))
 
 
 # --- single fields of a page -------------------------------------------------
@@ -251,14 +260,13 @@ def _or_empty(text: Column) -> Column:
 
 def page_field(html: Column, tag: str, default: str = MISSING) -> Column:
     """Text of the first element with this tag."""
-    inner = _element(without_scripts(html), rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-    return text_or(markup_text(inner), default)
+    return text_or(markup_text(_by_tag(without_scripts(html), tag)), default)
 
 
 def page_attribute(html: Column, tag: str, name: str) -> Column:
-    return _attribute(_element(html, rf"(?is)(<{tag}\b[^>]*>)", 1), name)
+    return _attribute(_found(html, rf"(?is)<{tag}\b[^>]*>"), name)
 
 
 def page_class_text(html: Column, css_class: str, fallback: Column) -> Column:
     """Text of the first element with this class, or another column."""
-    return text_or(markup_text(_by_class(without_scripts(html), css_class, 3)), fallback)
+    return text_or(markup_text(_by_class(without_scripts(html), css_class)), fallback)

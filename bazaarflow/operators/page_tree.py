@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 # Elements that never have content, so they never stay open.
@@ -35,6 +35,9 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.current = Node("", {}, None)
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_starttag(self, tag, attrs):
         node = Node(tag, {name: value or "" for name, value in attrs}, self.current)
         self.current.children.append(node)
@@ -67,27 +70,19 @@ def read_page(html: str) -> Node:
     return builder.root
 
 
-def descendants(node: Node) -> Iterator[Node | str | Comment]:
+def elements(node: Node) -> Iterator[Node]:
     """Document order, without recursion: broken pages can nest very deeply."""
-    waiting = list(reversed(node.children))
+    waiting = [child for child in reversed(node.children) if child.__class__ is Node]
     while waiting:
         child = waiting.pop()
         yield child
-        if isinstance(child, Node):
-            waiting.extend(reversed(child.children))
-
-
-def first(node: Node, test: Callable[[Node], bool]) -> Node | None:
-    for child in descendants(node):
-        if isinstance(child, Node) and test(child):
-            return child
-    return None
+        waiting.extend([inner for inner in reversed(child.children) if inner.__class__ is Node])
 
 
 def child_items(root: Node, list_tag: str, list_class: str | None, item_tag: str) -> Iterator[Node]:
     """Elements whose direct parent is a list of the wanted class."""
-    for node in descendants(root):
-        if isinstance(node, Node) and node.tag == item_tag:
+    for node in elements(root):
+        if node.tag == item_tag:
             owner = node.parent
             if owner.tag == list_tag and (list_class is None or list_class in owner.classes):
                 yield node

@@ -150,7 +150,7 @@ def item_pages(df: DataFrame, nested: bool = True) -> DataFrame:
     empty = F.lit("")
 
     def element(condition, before: str, value, after: str):
-        return F.when(condition, F.concat(F.lit(before), value, F.lit(after))).otherwise(empty)
+        return F.coalesce(F.when(condition, F.concat(F.lit(before), value, F.lit(after))), empty)
 
     href = (
         F.when(F.col("price_text") == "N/A", empty)
@@ -176,7 +176,6 @@ def item_pages(df: DataFrame, nested: bool = True) -> DataFrame:
         element(F.col("image_url").isNotNull(), '<img class="lazy"', source, ">"),
         F.lit("</li>\n"),
     )
-    # A missing location empties the whole span: concat with NULL is NULL.
     page = F.floor(number / ITEMS_PER_PAGE).alias("page_no")
     pages = df.select(page, F.struct("listing_no", item.alias("html")).alias("item"), "scraped_at")
     body = F.array_join(F.transform(F.array_sort("items"), lambda i: i["html"]), "")

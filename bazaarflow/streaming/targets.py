@@ -139,8 +139,10 @@ class LakeTarget:
     def finish(self, report: Row, categories: DataFrame, writer: str, batch_id: int) -> None:
         spark = categories.sparkSession
         self._overwrite(categories, "categories", writer, batch_id, 1)
-        fields = [field for field in _LOG.fields if field.name not in ("writer", "batch_id")]
-        entry = spark.createDataFrame([[report[field.name] for field in fields]], T.StructType(fields))
+        counted = [name for name in _LOG.fieldNames() if name not in ("writer", "batch_id")]
+        entry = spark.range(1).select(
+            *[F.lit(report[name]).cast("long").alias(name) for name in counted]
+        )
         self._overwrite(entry, "log", writer, batch_id, 1)
 
     def _overwrite(self, df: DataFrame, name: str, writer: str, batch_id: int, rows: int) -> None:
