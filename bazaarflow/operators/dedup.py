@@ -63,14 +63,24 @@ def known_keys(batch: DataFrame, target: DataFrame, key: str = KEY) -> DataFrame
     return stored.join(distinct_keys(batch, key), key, "left_semi").distinct()
 
 
-def drop_known(batch: DataFrame, target: DataFrame, key: str = KEY) -> DataFrame:
+def drop_known(
+    batch: DataFrame, target: DataFrame, key: str = KEY, salts: int = 1
+) -> DataFrame:
     """Rows whose key is not stored yet. Rows without a key never pass.
 
-    Only the key column of the target is read. Adaptive execution splits a hot
-    batch key here; ``insert_new`` removes copies first, so it has none.
+    Only the key column of the target is read. A very frequent batch key is
+    split by adaptive execution; where that is off, ``salts`` spreads each key
+    over that many tasks. Only known keys, at most one per batch key, are
+    repeated for it.
     """
-    stored = target.select(key).where(F.col(key).isNotNull())
-    return batch.where(F.col(key).isNotNull()).join(stored, key, "left_anti").select(*batch.columns)
+    keyed = batch.where(F.col(key).isNotNull())
+    if salts == 1:
+        stored = target.select(key).where(F.col(key).isNotNull())
+        return keyed.join(stored, key, "left_anti").select(*batch.columns)
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    known = known_keys(batch, target, key).withColumn("_salt", every_salt)
+    salted = keyed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return salted.join(known, [key, "_salt"], "left_anti").select(*batch.columns)
 
 
 def new_keys(batch: DataFrame, target: DataFrame, key: str = KEY) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -34,6 +35,7 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.current = Node("", {}, None)
+        self.open_tags = Counter()
 
     def updatepos(self, i, j):
         return j  # line numbers are not needed
@@ -43,18 +45,21 @@ class _Builder(HTMLParser):
         self.current.children.append(node)
         if tag not in VOID_TAGS:
             self.current = node
+            self.open_tags[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.current = self.current.parent
+        self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        node = self.current
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.current = node.parent
+        """Close the innermost such element and all within it; else nothing."""
+        if not self.open_tags[tag]:
+            return
+        closed = None
+        while closed != tag:
+            closed = self.current.tag
+            self.open_tags[closed] -= 1
+            self.current = self.current.parent
 
     def handle_data(self, data):
         self.current.children.append(data)

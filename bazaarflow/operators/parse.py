@@ -26,14 +26,15 @@ def parse_messages(raw: DataFrame, feed: Feed = FEED_A, value: str = "value") ->
     """
     schema = T.StructType([*feed.message_schema.fields, T.StructField(_BROKEN, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    parsed = raw.select(F.col(value).cast("string").alias("raw")).select(
-        "raw", F.from_json("raw", schema, options).alias("data")
-    )
-    flat = parsed.select(
-        *[F.col("data")[WIRE_NAMES[name]].alias(name) for name in TEXT_FIELDS],
-        F.col("data")[feed.time_field].alias("_time"),
+    text = raw.select(F.col(value).cast("string").alias("raw"))
+    # A generator reads each message once; filters on parsed fields could
+    # otherwise copy the whole parse into themselves, field by field.
+    data = text.select("raw", F.inline(F.array(F.from_json("raw", schema, options))))
+    flat = data.select(
+        *[F.col(WIRE_NAMES[name]).alias(name) for name in TEXT_FIELDS],
+        F.col(feed.time_field).alias("_time"),
         "raw",
-        F.col("data")[_BROKEN].alias("broken"),
+        F.col(_BROKEN).alias("broken"),
     )
     return unify_time(flat, "_time").select(*LISTING_FIELDS, "raw", "broken")
 

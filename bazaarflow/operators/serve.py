@@ -12,13 +12,37 @@ from bazaarflow.functions.text import any_of, badge, shown_date, shown_image, sh
 from bazaarflow.schema import ALL_LABEL, GRID_COLUMNS, KEY, SNAPSHOT_ROWS, TIME
 
 
-def newest_first(tie_break: list[str]) -> list:
-    return [F.desc_nulls_last(TIME), *[F.asc_nulls_last(name) for name in tie_break]]
+def newest_first(tie_break: list[str], time: str = TIME) -> list:
+    return [F.desc_nulls_last(time), *[F.asc_nulls_last(name) for name in tie_break]]
 
 
-def latest(df: DataFrame, rows: int = SNAPSHOT_ROWS, tie_break: list[str] | None = None) -> DataFrame:
+def latest(
+    df: DataFrame,
+    rows: int = SNAPSHOT_ROWS,
+    tie_break: list[str] | None = None,
+    time: str = TIME,
+) -> DataFrame:
     """The newest rows. Each task keeps its own best ``rows``; nothing is sorted whole."""
-    return df.orderBy(*newest_first(tie_break or [KEY])).limit(rows)
+    return df.orderBy(*newest_first(tie_break or [KEY], time)).limit(rows)
+
+
+def latest_of_table(
+    stored: DataFrame,
+    rows: int = SNAPSHOT_ROWS,
+    tie_break: list[str] | None = None,
+    time: str = TIME,
+) -> DataFrame:
+    """The same for a wide stored table, by two scans.
+
+    The first reads the time column alone and finds the time that ``rows``
+    rows reach. The second has it as a pushed filter, so row groups that are
+    older are not read in their other columns.
+    """
+    times = stored.select(time).where(F.col(time).isNotNull())
+    reached = times.orderBy(F.desc(time)).limit(rows).agg(F.count(time), F.min(time)).first()
+    if reached[0] == rows:
+        stored = stored.where(F.col(time) >= F.lit(reached[1]).cast(stored.schema[time].dataType))
+    return latest(stored, rows, tie_break, time)
 
 
 def by_category(df: DataFrame, category: str = ALL_LABEL) -> DataFrame:

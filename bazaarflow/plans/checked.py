@@ -416,9 +416,6 @@ def resolve_images(spark, folder):
 # --- one row per key ----------------------------------------------------------
 
 
-_FIRST_ORDER = [F.asc_nulls_last, "scraped_at", "listing_no"]
-
-
 def _firsts(df: DataFrame, key: str = "url") -> DataFrame:
     return dedup.first_per_key(df, key, [F.asc_nulls_last("scraped_at"), F.asc("listing_no")])
 
@@ -472,6 +469,24 @@ def drop_known(spark, folder):
     return dedup.drop_known(df, example.stored_part(df)).select(*NUMBERED)
 
 
+@checked(
+    over_listings(
+        "select listing_no, url from hot where url not in (select url from hot where scraped_at < "
+        f"{STORED_BEFORE})",
+        "hot as (select listing_no, scraped_at, case when listing_no % 3 = 0 and scraped_at >= "
+        f"{STORED_BEFORE} then 'https://x.example/hot' else url end as url from listings)",
+    )
+)
+def drop_known_hot(spark, folder):
+    """A new key on nearly a third of the rows, spread over eight tasks."""
+    df = _listings(spark, folder)
+    old = F.col("scraped_at") < STORED_BEFORE
+    hot = example.with_hot_url(df).withColumn("plain", df["url"]).withColumn(
+        "url", F.when(old, F.col("plain")).otherwise(F.col("url"))
+    )
+    return dedup.drop_known(hot, example.stored_part(hot), salts=8).select("listing_no", "url")
+
+
 @checked(over_listings("select url from listings where url is not null except select url from stored", STORED))
 def new_keys(spark, folder):
     df = _listings(spark, folder)
@@ -571,6 +586,16 @@ def latest(spark, folder):
     return serve.latest(_listings(spark, folder).select(*NUMBERED), tie_break=["listing_no"])
 
 
+@checked(
+    "select o_orderkey, o_custkey, o_totalprice, o_orderpriority from orders "
+    "order by o_orderdate desc, o_orderkey limit 2000"
+)
+def latest_of_table(spark, folder):
+    orders = table(spark, folder, "orders")
+    newest = serve.latest_of_table(orders, tie_break=["o_orderkey"], time="o_orderdate")
+    return newest.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
 @checked(over_listings(f"select {SERVED_COLUMNS} from served", SERVED), "snapshot")
 def served_snapshot(spark, folder):
     return _served(spark, folder)

@@ -52,16 +52,19 @@ def store_feed_by_state(
     checkpoint: str,
     every: str | None = "10 seconds",
     salts: int = 1,
+    other_writers: bool = True,
 ) -> StreamingQuery:
     """As above with the seen keys in streaming state.
 
-    A batch then costs what its own rows cost, however large the target is:
-    only rows of other writers are compared. Rows that cannot be stored do not
-    enter the state; send them on with ``unstorable``.
+    A batch is compared with the rows of other writers only. If there are
+    none (``other_writers=False``) it costs what its own rows cost, however
+    large the target is. Rows that cannot be stored do not enter the state;
+    ``unstorable`` gives them.
     """
     fitting = parse_messages(raw, feed).where(storable())
     once = stream_dedup(fitting, salts=salts)
-    return start_insert(once, target, f"{feed.name}_by_state", checkpoint, every, skip_own=True)
+    against = "others" if other_writers else "none"
+    return start_insert(once, target, f"{feed.name}_by_state", checkpoint, every, against)
 
 
 def unstorable(raw: DataFrame, feed: Feed) -> DataFrame:

@@ -30,13 +30,15 @@ def insert_new(
     target: LakeTarget | JdbcTarget,
     writer: str | None = None,
     batch_id: int = 0,
-    skip_own: bool = False,
+    against: str = "all",
     key: str = KEY,
 ) -> Row:
     """Append the rows whose key the target lacks; returns the counts.
 
     The batch may carry extra columns; they are kept for rejected rows only.
-    It is read once and held for the steps below.
+    It is read once and held for the steps below. ``against`` tells which
+    stored rows to compare with: "all", those of "others" than this writer, or
+    "none" for a sole writer whose input has every key once.
     """
     writer = writer or uuid.uuid4().hex
     spark = batch.sparkSession
@@ -62,12 +64,14 @@ def insert_new(
             target.set_aside(rejects, size.rejected, writer, batch_id)
 
         wanted = batch.where(fits).select(*LISTING_FIELDS)
-        small = size.bytes <= SMALL_KEYS
-        keys = wanted.select(key).distinct()
-        stored = target.stored(spark, keys, small, writer, batch_id, skip_own, key)
-        # One row per key on both sides, so no join partition can be hot; the
-        # rows are already hashed by key for the anti join.
-        fresh = first_per_key(wanted, key).join(stored, key, "left_anti").select(*LISTING_FIELDS)
+        fresh = first_per_key(wanted, key)
+        if against != "none":
+            small = size.bytes <= SMALL_KEYS
+            keys = wanted.select(key).distinct()
+            stored = target.stored(spark, keys, small, writer, batch_id, against == "others", key)
+            # One row per key on both sides, so no join partition can be hot;
+            # the rows are already hashed by key for the anti join.
+            fresh = fresh.join(stored, key, "left_anti").select(*LISTING_FIELDS)
         fresh = fresh.persist()
         found = fresh.agg(
             F.count(F.lit(1)).alias("new"),
@@ -117,21 +121,22 @@ def start_insert(
     name: str,
     checkpoint: str,
     every: str | None = "10 seconds",
-    skip_own: bool = False,
+    against: str = "all",
 ) -> StreamingQuery:
     """Feed a stream into the target; ``every=None`` takes what is there and ends.
 
     The query id in the checkpoint is the writer, so a restart goes on with
     its batches and a new checkpoint never overwrites those of an old one. A
     failing batch stops the query and is repeated by the next start.
-    ``skip_own`` is for streams that already passed ``stream_dedup``.
+    ``against`` is as in ``insert_new``; streams that passed ``stream_dedup``
+    need "others" at most.
     """
     started = threading.Event()
     identity: dict[str, str] = {}
 
     def store(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        insert_new(batch, target, identity["writer"], batch_id, skip_own)
+        insert_new(batch, target, identity["writer"], batch_id, against)
 
     writer = (
         listings.writeStream.queryName(name)

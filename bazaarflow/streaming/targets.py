@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -71,7 +72,8 @@ class LakeTarget:
     """Parquet folders partitioned by writer (a streaming query) and batch.
 
     A batch owns its partition and overwrites it, so a repeated batch leaves
-    no second copy. ``log`` has one row per finished batch.
+    no second copy. ``log`` has one row per finished batch. Ids go on from the
+    highest in the log; writers that run side by side number independently.
     """
 
     path: str
@@ -104,17 +106,16 @@ class LakeTarget:
 
     def stored(
         self, spark: SparkSession, keys: DataFrame, small: bool, writer: str, batch_id: int,
-        skip_own: bool, key: str = KEY,
+        others_only: bool, key: str = KEY,
     ) -> DataFrame:
-        """Keys stored by anyone else, for comparison with a batch.
+        """Stored keys to compare a batch with.
 
         The batch's own partition never counts (it may be left from a failed
-        attempt). ``skip_own`` leaves out all of the writer's partitions, for a
-        stream whose state already keeps its keys apart: then nothing of the
-        writer's own history is read.
+        attempt). ``others_only`` leaves out all of the writer's partitions,
+        for a stream whose state already keeps its keys apart.
         """
         own = F.col("writer") == writer
-        mine = own if skip_own else own & (F.col("batch_id") == batch_id)
+        mine = own if others_only else own & (F.col("batch_id") == batch_id)
         stored = self.read(spark).where(~mine).select(key)
         if small:
             # Scan the stored keys in place; only those of the batch come back.
@@ -122,8 +123,14 @@ class LakeTarget:
         return stored
 
     def last_id(self, spark: SparkSession, writer: str, batch_id: int) -> int:
-        mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-        return self.log(spark).where(~mine).agg(F.max("last_id")).first()[0] or 0
+        """From the writer's batch before, else from the whole log."""
+        before = f"{self.path}/log/writer={writer}/batch_id={batch_id - 1}"
+        try:
+            found = spark.read.schema("last_id bigint").parquet(before).first()
+            return found.last_id
+        except AnalysisException:
+            mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+            return self.log(spark).where(~mine).agg(F.max("last_id")).first()[0] or 0
 
     def append(self, fresh: DataFrame, rows: int, writer: str, batch_id: int) -> int:
         """Store rows under new ids; returns the last id given."""
@@ -210,7 +217,7 @@ class JdbcTarget:
 
     def stored(
         self, spark: SparkSession, keys: DataFrame, small: bool, writer: str, batch_id: int,
-        skip_own: bool, key: str = KEY,
+        others_only: bool, key: str = KEY,
     ) -> DataFrame:
         """Few keys are looked up by index; many are joined to the key column.
 

@@ -339,6 +339,35 @@ def test_latest_puts_missing_time_last(spark):
     assert values(serve.latest(df, 2), "n") == [3, 2]
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 9])
+def test_latest_of_table(spark, tmp_path, size):
+    rows = [{"scraped_at": t, "url": u} for t, u in [(None, "n"), (1, "a"), (3, "c"), (3, "b")]]
+    listing_rows(spark, *rows).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = serve.latest_of_table(stored, size)
+    assert values(found, "n") == values(serve.latest(stored, size), "n")
+    pushed = "GreaterThanOrEqual(scraped_at" in found._jdf.queryExecution().toString()
+    assert pushed == (size <= 3)
+
+
+def test_salted_drop_known(spark):
+    batch = listing_rows(spark, *[{"url": u} for u in ["a", "a", "b", "b", "c", None]]).repartition(4)
+    target = spark.createDataFrame([("a",), ("a",), (None,)], "url string")
+    assert sorted(values(dedup.drop_known(batch, target, salts=3), "n")) == [2, 3, 4]
+
+
+def test_unmatched_end_tags(spark):
+    page = '</div></ul><ul class="cars-list"></p><li><a href="1"><h3>A</h3></div></a></li></ul>'
+    df = spark.createDataFrame([(page,)], "html string")
+    assert [(r.item_no, r.title, r.href) for r in html_items.read_items(df).collect()] == [(0, "A", "1")]
+
+
+def test_very_deep_page(spark):
+    page = "<div>" * 50000 + '<ul class="cars-list"><li><a href="1">x' + "</p>" * 50000
+    df = spark.createDataFrame([(page,)], "html string")
+    assert values(html_items.read_items(df), "href") == ["1"]
+
+
 def test_cards(spark):
     df = listing_rows(spark, *[{"url": str(n), "scraped_at": n, "source": "The TAG"} for n in range(5)], {"url": "x"})
     rows = serve.cards(df, "tag", "one", "two").orderBy("place").collect()

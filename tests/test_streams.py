@@ -229,6 +229,21 @@ def test_state_feed_with_rocksdb(spark, tmp_path, target):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_sole_writer_reads_no_stored_rows(spark, tmp_path, target, monkeypatch):
+    monkeypatch.setattr(LakeTarget, "stored", None)
+    folder = tmp_path / "in"
+    for rows in ([listing("a"), listing("a")], [listing("a"), listing("b")]):
+        sent = parse.to_messages(frame(spark, *rows), FEED_A)
+        add_file(sent.select(F.col("value").cast("string")), folder)
+        raw = open_files(spark, str(folder), "value string")
+        query = store_feed_by_state(
+            raw, FEED_A, target, str(tmp_path / "cp"), every=None, other_writers=False
+        )
+        query.awaitTermination()
+    assert urls(spark, target) == ["a", "b"]
+    assert sorted(r.id for r in target.read(spark).collect()) == [1, 2]
+
+
 def test_pages_to_messages_as_a_stream(spark, tmp_path, folder):
     made = example.item_pages(example.listings(spark, folder)).select("category", "html", "scraped_at")
     made.write.parquet(str(tmp_path / "in"))
