@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarflow.functions.text import any_of, badge, shown_date, shown_image, shown_price
 from bazaarflow.schema import ALL_LABEL, GRID_COLUMNS, KEY, SNAPSHOT_ROWS, TIME
@@ -26,22 +27,45 @@ def latest(
     return df.orderBy(*newest_first(tie_break or [KEY], time)).limit(rows)
 
 
+def _reached(stored: DataFrame, at: Column, rows: int) -> str | None:
+    """The latest value that at least ``rows`` rows lie at or after, as text.
+
+    Rows are counted per value before they are brought together, and every
+    value has a row, so ``rows`` values are all that has to be looked at.
+    """
+    per_value = stored.where(at.isNotNull()).groupBy(at.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    newest = per_value.orderBy(F.desc("_at")).limit(rows).select(F.col("_at").cast("string"), "_n")
+    total = 0
+    for value, count in newest.collect():
+        total += count
+        if total >= rows:
+            return value
+    return None
+
+
 def latest_of_table(
     stored: DataFrame,
     rows: int = SNAPSHOT_ROWS,
     tie_break: list[str] | None = None,
     time: str = TIME,
 ) -> DataFrame:
-    """The same for a wide stored table, by two scans.
+    """The same for a large table: first the day, then the exact time that
+    ``rows`` rows reach, and only rows from there on are sorted.
 
-    The first reads the time column alone and finds the time that ``rows``
-    rows reach. The second has it as a pushed filter, so row groups that are
-    older are not read in their other columns.
+    ``latest`` sends ``rows`` whole rows of every task to one; here the first
+    two scans read the time column alone, and the last one has the time as a
+    pushed filter, which also skips older row groups. ``time`` is a number of
+    seconds or a TIMESTAMP_NTZ.
     """
-    times = stored.select(time).where(F.col(time).isNotNull())
-    reached = times.orderBy(F.desc(time)).limit(rows).agg(F.count(time), F.min(time)).first()
-    if reached[0] == rows:
-        stored = stored.where(F.col(time) >= F.lit(reached[1]).cast(stored.schema[time].dataType))
+    kind = stored.schema[time].dataType
+    at = F.col(time)
+    numeric = isinstance(kind, T.NumericType)
+    day = (F.floor(at / 86400) * 86400).cast(kind) if numeric else F.to_date(at)
+    for step in (day, at):
+        start = _reached(stored, step, rows)
+        if start is None:  # fewer rows have a time
+            break
+        stored = stored.where(at >= F.lit(start).cast(kind))
     return latest(stored, rows, tie_break, time)
 
 

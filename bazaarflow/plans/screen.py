@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from bazaarflow.operators.clean import serving_columns
-from bazaarflow.operators.serve import cards, latest, search
+from bazaarflow.operators.serve import cards, latest_of_table, search
 from bazaarflow.schema import SNAPSHOT_ROWS
 
 
 def snapshot(stored: DataFrame, rows: int = SNAPSHOT_ROWS, tie_break: list[str] | None = None) -> DataFrame:
     """Newest rows first, then defaults and derived columns on those only."""
-    return serving_columns(latest(stored, rows, tie_break))
+    return serving_columns(latest_of_table(stored, rows, tie_break))
 
 
 def result_cards(
