@@ -71,7 +71,7 @@ def stream_dedup_bounded(spark, folder):
 def _prepared(spark: SparkSession, folder: str) -> LakeTarget:
     """A target that already holds the older listings."""
     target = LakeTarget(working_folder(spark, "target")).create(spark)
-    insert_new(example.stored_part(example.listings(spark, folder)), target, "backfill")
+    insert_new(example.stored_part(example.listings(spark, folder)), target, "backfill", staged=True)
     return target
 
 
@@ -87,10 +87,10 @@ def _streamed(spark: SparkSession, folder: str) -> LakeTarget:
 
 @checked(over_listings(f"select {FIELDS} from final", STORED, _STORED_FIRST))
 def insert_batches(spark, folder):
-    """Two overlapping batches, the second one twice."""
+    """Two overlapping loads, the second one twice under one batch number."""
     target = _prepared(spark, folder)
     for batch_id in (1, 1, 2):
-        insert_new(example.listings(spark, folder), target, "again", batch_id)
+        insert_new(example.listings(spark, folder), target, "again", batch_id, staged=True)
     return target.read(spark).select(*LISTING_FIELDS)
 
 

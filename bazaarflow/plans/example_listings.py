@@ -15,6 +15,7 @@ from bazaarflow.sources.tables import table, table_stream
 SITE_A = Site("Site A", "https://a.example/fr")
 SITE_B = Site("siteb", "https://b.example")
 AS_OF = "1999-06-15 12:00:00"
+FILES_PER_BATCH = 500  # bounds a micro-batch where a table has many files
 STORED_BEFORE = 820454400  # 1996-01-01: older listings count as stored already
 
 _SPARK_DAYS = "unix_date(cast(o_orderdate as date))"
@@ -79,7 +80,8 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
 
 def listings_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The orders as a stream, the other two tables as they are."""
-    return _from_orders(table_stream(spark, folder, "orders"), spark, folder)
+    orders = table_stream(spark, folder, "orders", files_per_batch=FILES_PER_BATCH)
+    return _from_orders(orders, spark, folder)
 
 
 def stored_part(df: DataFrame) -> DataFrame:

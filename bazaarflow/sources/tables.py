@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarflow.sources.streams import open_files
 
@@ -21,21 +22,13 @@ def table_stream(
 
 
 def pages(df: DataFrame, categories: dict[str, str]) -> DataFrame:
-    """Stored pages ``(page_url, html)`` of several categories in one frame.
+    """Stored pages ``(page_url, html)`` of several categories, in one scan.
 
-    ``categories`` maps a category to the address its pages start with.
+    ``categories`` maps a category to the address its pages start with; the
+    first one that fits counts, other pages are left out.
     """
-    labelled = [
-        df.where(df.page_url.startswith(address)).selectExpr(
-            "page_url", f"'{_quoted(category)}' as category", "html"
-        )
-        for category, address in categories.items()
-    ]
-    combined = labelled[0]
-    for part in labelled[1:]:
-        combined = combined.unionByName(part)
-    return combined
-
-
-def _quoted(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+    category = F.lit(None).cast("string")
+    for name, address in reversed(categories.items()):
+        category = F.when(F.col("page_url").startswith(address), F.lit(name)).otherwise(category)
+    labelled = df.select("page_url", category.alias("category"), "html")
+    return labelled.where(F.col("category").isNotNull())

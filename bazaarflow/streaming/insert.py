@@ -13,6 +13,7 @@ from bazaarflow.operators.clean import too_long
 from bazaarflow.operators.counts import category_counts
 from bazaarflow.operators.dedup import first_per_key
 from bazaarflow.schema import KEY, LISTING_FIELDS, MAX_LENGTHS, TIME
+from bazaarflow.sources.scratch import working_folder
 from bazaarflow.streaming.targets import JdbcTarget, LakeTarget
 
 # Largest total of batch keys (bytes, with overhead) sent to every executor.
@@ -31,19 +32,25 @@ def insert_new(
     writer: str | None = None,
     batch_id: int = 0,
     against: str = "all",
+    staged: bool = False,
     key: str = KEY,
 ) -> Row:
     """Append the rows whose key the target lacks; returns the counts.
 
     The batch may carry extra columns; they are kept for rejected rows only.
-    It is read once and held for the steps below. ``against`` tells which
-    stored rows to compare with: "all", those of "others" than this writer, or
-    "none" for a sole writer whose input has every key once.
+    ``against`` tells which stored rows to compare with: "all", those of
+    "others" than this writer, or "none" for a sole writer whose input has
+    every key once.
+
+    A micro-batch is held in memory for the steps below. ``staged`` is for
+    loads too large for that: the input is scanned again where needed, and the
+    new rows go to a table in the working folder before they are numbered.
     """
     writer = writer or uuid.uuid4().hex
     spark = batch.sparkSession
     fits = storable(key)
-    batch = batch.persist()
+    if not staged:
+        batch = batch.persist()
     fresh = None
     try:
         size = batch.agg(
@@ -72,7 +79,7 @@ def insert_new(
             # One row per key on both sides, so no join partition can be hot;
             # the rows are already hashed by key for the anti join.
             fresh = fresh.join(stored, key, "left_anti").select(*LISTING_FIELDS)
-        fresh = fresh.persist()
+        fresh = _written(fresh) if staged else fresh.persist()
         found = fresh.agg(
             F.count(F.lit(1)).alias("new"),
             F.count(TIME).alias("timed_rows"),
@@ -84,9 +91,15 @@ def insert_new(
         target.finish(report, category_counts(fresh), writer, batch_id)
         return report
     finally:
-        if fresh is not None:
-            fresh.unpersist()
-        batch.unpersist()
+        for held in (fresh, batch):
+            if held is not None and not staged:
+                held.unpersist()
+
+
+def _written(df: DataFrame) -> DataFrame:
+    place = working_folder(df.sparkSession, "new-rows")
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
 def _report(size: Row, new: int, found: Row | None, last_id: int | None) -> Row:

@@ -237,7 +237,7 @@ class JdbcTarget:
         named.write.format("jdbc").options(**self.write_options()).mode("append").save()
 
     def set_aside(self, rejects: DataFrame, rows: int, writer: str, batch_id: int) -> None:
-        """Rejected rows go to a table next to the target."""
+        """Rejected rows go to a table beside the target; a repeated batch adds them again."""
         named = rejects.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
         options = {**self.write_options(), "dbtable": f"{self.table}_rejected"}
         named.write.format("jdbc").options(**options).mode("append").save()

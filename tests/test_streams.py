@@ -10,6 +10,7 @@ from bazaarflow.plans.feeds import page_messages, store_feed, store_feed_by_stat
 from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS, Site
 from bazaarflow.sources.scratch import working_folder
 from bazaarflow.sources.streams import open_files
+from bazaarflow.sources.tables import table_stream
 from bazaarflow.streaming import insert as insert_module
 from bazaarflow.streaming.insert import insert_new, start_insert, state_settings
 from bazaarflow.streaming.targets import JdbcTarget, LakeTarget, column_types, table_ddl, with_ids
@@ -108,6 +109,24 @@ def test_insert_is_idempotent(spark, target):
     assert reasons == {"no key", "too long: price_text"}
 
 
+def test_staged_load(spark, target, folder):
+    df = example.listings(spark, folder).select(*LISTING_FIELDS)
+    insert_new(example.stored_part(df), target, "w", 0)
+    report = insert_new(df.repartition(5), target, "load", 0, staged=True)
+    unique = dedup.distinct_keys(df).count()
+    assert report.total == df.count() and report.last_id == unique
+    assert sorted(r.id for r in target.read(spark).collect()) == list(range(1, unique + 1))
+    assert insert_new(df, target, "load", 1, staged=True).new == 0
+
+
+def test_table_stream_reads_a_folder(spark, tmp_path, folder):
+    df = example.listings(spark, folder).select("url", "listing_no")
+    df.repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    stream = table_stream(spark, str(tmp_path), "many", files_per_batch=2)
+    stream.writeStream.format("memory").queryName("many").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(spark.table("many").collect()) == sorted(df.collect())
+
+
 def test_repeated_batch_replaces_itself(spark, target):
     insert_new(frame(spark, listing("a"), listing("b")), target, "w", 0)
     insert_new(frame(spark, listing("a"), listing("b")), target, "w", 0)
