@@ -264,7 +264,7 @@ def payload_feed(spark, folder):
 # --- HTML pages ---------------------------------------------------------------
 
 _PAGE = f"cast(floor(listing_no / {example.ITEMS_PER_PAGE}) as bigint)"
-_PAGE_CATEGORY = f"case {_PAGE} % 3 when 0 then 'Auto-Moto' when 1 then 'Immobilier' else 'Multimedia' end"
+_PAGE_CATEGORY = f"case {_PAGE} % 3 when 0 then 'Autos' when 1 then 'Logement' else 'Audio' end"
 _ITEMS = (
     f"items as (select 'siteb' as source, {_PAGE_CATEGORY} as category, "
     f"case when subcategory = 'HOUSEHOLD' then {_PAGE_CATEGORY} else subcategory end as subcategory, "

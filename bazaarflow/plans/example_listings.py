@@ -187,7 +187,7 @@ def item_pages(df: DataFrame, nested: bool = True) -> DataFrame:
         '<ul class="wide cars-list">'
     )
     category = F.element_at(
-        F.array(F.lit("Auto-Moto"), F.lit("Immobilier"), F.lit("Multimedia")),
+        F.array(F.lit("Autos"), F.lit("Logement"), F.lit("Audio")),
         (F.col("page_no") % 3 + 1).cast("int"),
     )
     # Listing numbers are unique, so no page exceeds 25 items.

@@ -59,7 +59,7 @@ def store_feed_by_state(
     A batch is compared with the rows of other writers only. If there are
     none (``other_writers=False``) it costs what its own rows cost, however
     large the target is. Rows that cannot be stored do not enter the state;
-    ``unstorable`` gives them.
+    ``set_aside_feed`` is the query that keeps them.
     """
     fitting = parse_messages(raw, feed).where(storable())
     once = stream_dedup(fitting, salts=salts)
@@ -70,3 +70,14 @@ def store_feed_by_state(
 def unstorable(raw: DataFrame, feed: Feed) -> DataFrame:
     """Messages without a key or with values too long for the target."""
     return parse_messages(raw, feed).where(~F.coalesce(storable(), F.lit(False)))
+
+
+def set_aside_feed(
+    raw: DataFrame,
+    feed: Feed,
+    target: LakeTarget | JdbcTarget,
+    checkpoint: str,
+    every: str | None = "10 seconds",
+) -> StreamingQuery:
+    """Only the rows that cannot be stored, to the target's rejects."""
+    return start_insert(unstorable(raw, feed), target, f"{feed.name}_rejects", checkpoint, every, "none")

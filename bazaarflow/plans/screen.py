@@ -14,6 +14,18 @@ def snapshot(stored: DataFrame, rows: int = SNAPSHOT_ROWS, tie_break: list[str]
     return serving_columns(latest_of_table(stored, rows, tie_break))
 
 
+def found_cards(
+    served: DataFrame,
+    tag: str,
+    matching: str,
+    other: str,
+    tie_break: list[str] | None = None,
+    **criteria,
+) -> DataFrame:
+    """Cards of those rows of a snapshot that meet the criteria."""
+    return cards(search(served, **criteria), tag, matching, other, tie_break)
+
+
 def result_cards(
     stored: DataFrame,
     tag: str,
@@ -22,5 +34,5 @@ def result_cards(
     tie_break: list[str] | None = None,
     **criteria,
 ) -> DataFrame:
-    found = search(snapshot(stored, tie_break=tie_break), **criteria)
-    return cards(found, tag, matching, other, tie_break)
+    served = snapshot(stored, tie_break=tie_break)
+    return found_cards(served, tag, matching, other, tie_break, **criteria)

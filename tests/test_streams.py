@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from bazaarflow.operators import dedup, parse
 from bazaarflow.plans import example_listings as example
-from bazaarflow.plans.feeds import page_messages, store_feed, store_feed_by_state, unstorable
+from bazaarflow.plans.feeds import (
+    page_messages,
+    set_aside_feed,
+    store_feed,
+    store_feed_by_state,
+    unstorable,
+)
 from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS, Site
 from bazaarflow.sources.scratch import working_folder
 from bazaarflow.sources.streams import open_files
@@ -226,8 +232,11 @@ def test_feeds_into_one_target(spark, tmp_path, target, store):
     assert urls(spark, target) == ["a", "b", "c"]
     raw = spark.read.parquet(str(tmp_path / "a"))
     assert unstorable(raw, FEED_A).count() == 2
-    if store is store_feed:
-        assert target.rejected(spark).count() == 2
+    if store is store_feed_by_state:
+        raw = open_files(spark, str(tmp_path / "a"), "value string")
+        set_aside_feed(raw, FEED_A, target, str(tmp_path / "cp-r"), every=None).awaitTermination()
+    assert target.rejected(spark).count() == 2
+    assert urls(spark, target) == ["a", "b", "c"]
 
 
 def test_state_feed_with_rocksdb(spark, tmp_path, target):
@@ -274,16 +283,29 @@ def test_pages_to_messages_as_a_stream(spark, tmp_path, folder):
 
 
 def test_relational_target_options():
-    target = JdbcTarget({"url": "jdbc:x", "user": "u"}, "annonces")
-    assert target.write_options()["dbtable"] == "annonces"
+    target = JdbcTarget({"url": "jdbc:x", "user": "u"}, "ads")
+    assert target.write_options()["dbtable"] == "ads"
     assert target.newest_options(5)["query"] == (
-        "select * from annonces order by timestamp_scraped desc limit 5"
+        "select * from ads order by timestamp_scraped desc limit 5"
     )
-    ddl = table_ddl("annonces")
+    ddl = table_ddl("ads")
     assert "url VARCHAR(768) UNIQUE" in ddl and "titre TEXT" in ddl and "AUTO_INCREMENT" in ddl
     assert "prix VARCHAR(50)" in column_types()
 
 
+@pytest.mark.parametrize("small, limit", [(True, 10), (True, 1), (False, 10)])
+def test_relational_lookup(spark, monkeypatch, small, limit):
+    """By key list, by broadcast, or left to the join: the same known keys."""
+    stored = frame(spark, listing("a"), listing("c"), listing("d"))
+    monkeypatch.setattr(JdbcTarget, "read", lambda self, spark: stored)
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "url string")
+    found = JdbcTarget({}, "t", limit).stored(spark, keys, small, "w", 0, False)
+    known = {row.url for row in keys.join(found, "url", "left_semi").collect()}
+    assert known == {"a", "c"}
+    if small:
+        assert {row.url for row in found.collect()} == known
+
+
 def test_working_folder_is_below_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     made = working_folder(spark, "x")
