@@ -16,6 +16,7 @@ from bazaarflow.plans.example_listings import AS_OF, SITE_A, SITE_B, SQL_VIEW, S
 from bazaarflow.plans.feeds import merged_feeds, page_messages, payload_messages
 from bazaarflow.plans.screen import result_cards, snapshot
 from bazaarflow.schema import FEED_A, FEED_B, FULL_MONTHS, LISTING_FIELDS, MONTHS
+from bazaarflow.sources import tables
 from bazaarflow.sources.tables import table
 
 
@@ -195,12 +196,7 @@ def to_messages(spark, folder):
 )
 def rejected_messages(spark, folder):
     """Messages broken on purpose: cut short, or without their address."""
-    df = _listings(spark, folder)
-    keyless = df.withColumn("url", F.when(F.col("location").isNotNull(), F.col("url")))
-    text = F.col("value").cast("string")
-    sent = parse.to_messages(keyless, FEED_A).select(
-        F.when(text.contains('"category":null'), F.concat(F.lit("cut "), text)).otherwise(text).alias("value")
-    )
+    sent = example.spoiled_messages(_listings(spark, folder))
     found = parse.rejected(parse.parse_messages(sent, FEED_A))
     return found.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -253,6 +249,16 @@ def ads_per_section(spark, folder):
     return flatten.ads_per_section(made)
 
 
+@checked(
+    over_listings(f"select distinct {_CHUNK} as payload_no from listings where {_CHUNK} % 4 = 0")
+)
+def unreadable_payloads(spark, folder):
+    """Every fourth payload is cut short at its start."""
+    made = example.payloads(_listings(spark, folder))
+    cut = F.when(F.col("payload_no") % 4 == 0, F.concat(F.lit("]"), "payload")).otherwise(F.col("payload"))
+    return flatten.unreadable_payloads(made.withColumn("payload", cut)).select("payload_no")
+
+
 @checked(over_listings(f"select {FIELDS} from flat where listing_no % 37 <> 0", _FLAT))
 def payload_feed(spark, folder):
     """Payloads to messages to listings."""
@@ -380,6 +386,29 @@ def drop_ad_slots(spark, folder):
     return html_items.drop_ad_slots(html_items.read_items(made)).select("page_no", "item_no")
 
 
+@checked(
+    over_listings(
+        f"select {_PAGE} as page_no, listing_no % {example.ITEMS_PER_PAGE} as item_no from listings "
+        "where category is not null and location is not null"
+    )
+)
+def with_mandatory(spark, folder):
+    """Items that have both a date and a link, ad slots included."""
+    made = example.item_pages(_listings(spark, folder)).select("page_no", "html")
+    return html_items.with_mandatory(html_items.read_items(made)).select("page_no", "item_no")
+
+
+@checked(
+    "select page_id, case when starts_with(url, 'https://m.') then 'mobile' else 'desktop' end as category, "
+    "length(html) as size from pages where starts_with(url, 'https://')"
+)
+def category_pages(spark, folder):
+    """Pages of two address families in one scan."""
+    stored = table(spark, folder, "pages").withColumnRenamed("url", "page_url")
+    labelled = tables.pages(stored, {"mobile": "https://m.", "desktop": "https://"})
+    return labelled.select("page_id", "category", F.length("html").cast("long").alias("size"))
+
+
 @checked(
     over_listings(
         "select listing_no, case when href = '' or starts_with(href, 'http') then href "

@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 from bazaarflow.operators import dedup, parse
 from bazaarflow.plans import example_listings as example
 from bazaarflow.plans.checked import FIELDS, STORED, checked, over_listings
-from bazaarflow.plans.feeds import store_feed, store_feed_by_state
-from bazaarflow.schema import FEED_A, LISTING_FIELDS
+from bazaarflow.plans.feeds import (
+    set_aside_feed,
+    store_feed,
+    store_feed_by_state,
+    store_merged_feeds,
+)
+from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS
 from bazaarflow.sources.scratch import working_folder
 from bazaarflow.sources.tables import table_stream
 from bazaarflow.streaming.insert import insert_new, start_insert
@@ -118,9 +123,37 @@ def stream_feed_by_state(spark, folder):
     return target.read(spark).select("url")
 
 
+@checked(over_listings("select distinct url from listings"))
+def stream_merged_feeds(spark, folder):
+    """Both feeds, with different time fields, by one query."""
+    stream = example.listings_stream(spark, folder)
+    is_a = F.col("source") == example.SITE_A.tag
+    raw_a = parse.to_messages(stream.where(is_a), FEED_A)
+    raw_b = parse.to_messages(stream.where(~is_a), FEED_B)
+    target = LakeTarget(working_folder(spark, "target")).create(spark)
+    query = store_merged_feeds(raw_a, raw_b, target, working_folder(spark, "checkpoint"), every=None)
+    query.awaitTermination()
+    return target.read(spark).select("url")
+
+
+@checked(
+    over_listings(
+        "select 'no key' as reason, count(*) as rows from listings where category is null or location is null"
+    )
+)
+def stream_rejects(spark, folder):
+    """Messages that were cut short, or have no address, are kept aside."""
+    sent = example.spoiled_messages(example.listings_stream(spark, folder))
+    target = LakeTarget(working_folder(spark, "target")).create(spark)
+    query = set_aside_feed(sent, FEED_A, target, working_folder(spark, "checkpoint"), every=None)
+    query.awaitTermination()
+    return target.rejected(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @checked(
     over_listings(
-        "select sum(total) as total, sum(rejected) as rejected, sum(new) as new, sum(duplicates) as duplicates from ("
+        "select cast(sum(total) as bigint) as total, cast(sum(rejected) as bigint) as rejected, "
+        "cast(sum(new) as bigint) as new, cast(sum(duplicates) as bigint) as duplicates from ("
         "select count(*) as total, 0 as rejected, count(distinct url) as new, "
         "count(*) - count(distinct url) as duplicates from stored union all "
         "select count(*), 0, count(distinct url) filter (where url not in (select url from stored)), "

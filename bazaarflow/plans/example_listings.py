@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarflow.schema import Site
+from bazaarflow.operators.parse import to_messages
+from bazaarflow.schema import FEED_A, Site
 from bazaarflow.sources.tables import table, table_stream
 
 SITE_A = Site("Site A", "https://a.example/fr")
@@ -94,6 +95,14 @@ def with_hot_url(df: DataFrame) -> DataFrame:
     return df.withColumn("url", F.when(hot, F.lit("https://x.example/hot")).otherwise(F.col("url")))
 
 
+def spoiled_messages(df: DataFrame) -> DataFrame:
+    """Messages without address where the location lacks, unreadable where the category does."""
+    keyless = df.withColumn("url", F.when(F.col("location").isNotNull(), F.col("url")))
+    text = F.col("value").cast("string")
+    cut = F.when(text.contains('"category":null'), F.concat(F.lit("cut "), text)).otherwise(text)
+    return to_messages(keyless, FEED_A).select(cut.alias("value"))
+
+
 # --- site A payloads -----------------------------------------------------------
 
 ADS_PER_PAYLOAD = 50

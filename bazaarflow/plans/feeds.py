@@ -67,6 +67,17 @@ def store_feed_by_state(
     return start_insert(once, target, f"{feed.name}_by_state", checkpoint, every, against)
 
 
+def store_merged_feeds(
+    raw_a: DataFrame,
+    raw_b: DataFrame,
+    target: LakeTarget | JdbcTarget,
+    checkpoint: str,
+    every: str | None = "10 seconds",
+) -> StreamingQuery:
+    """Both feeds in one query: one writer, so a key both bring is stored once."""
+    return start_insert(merged_feeds(raw_a, raw_b), target, "merged", checkpoint, every)
+
+
 def unstorable(raw: DataFrame, feed: Feed) -> DataFrame:
     """Messages without a key or with values too long for the target."""
     return parse_messages(raw, feed).where(~F.coalesce(storable(), F.lit(False)))

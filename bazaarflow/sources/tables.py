@@ -22,13 +22,12 @@ def table_stream(
 
 
 def pages(df: DataFrame, categories: dict[str, str]) -> DataFrame:
-    """Stored pages ``(page_url, html)`` of several categories, in one scan.
+    """Stored pages with their category, all categories in one scan.
 
-    ``categories`` maps a category to the address its pages start with; the
-    first one that fits counts, other pages are left out.
+    ``categories`` maps a category to what the ``page_url`` of its pages starts
+    with; the first one that fits counts, other pages are left out.
     """
     category = F.lit(None).cast("string")
     for name, address in reversed(categories.items()):
         category = F.when(F.col("page_url").startswith(address), F.lit(name)).otherwise(category)
-    labelled = df.select("page_url", category.alias("category"), "html")
-    return labelled.where(F.col("category").isNotNull())
+    return df.withColumn("category", category).where(F.col("category").isNotNull())
