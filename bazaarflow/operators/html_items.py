@@ -19,7 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarflow.functions.dates import is_recent
-from bazaarflow.functions.text import decode_entities, markup_text, text_or, without_scripts
+from bazaarflow.functions.text import (
+    decode_entities,
+    let,
+    markup_text,
+    text_or,
+    without_scripts,
+)
 from bazaarflow.functions.urls import resolve_image, resolve_url
 from bazaarflow.operators.page_tree import (
     Node,
@@ -209,7 +215,8 @@ def _attribute(element: Column, name: str) -> Column:
     """An attribute of the element's own tag; NULL when it is not there."""
     pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*')"""
     quoted = F.nullif(F.regexp_extract(element, pattern, 1), F.lit(""))
-    return decode_entities(F.substring(quoted, 2, F.length(quoted) - 2))
+    bare = let(quoted, lambda text: F.substring(text, 2, F.length(text) - 2))
+    return let(bare, decode_entities)
 
 
 def _read_native(pages: DataFrame, spec: ItemSpec, html: str) -> DataFrame:
