@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarflow.llm import packing
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
 from bazaarflow.sources.tables import table
@@ -21,3 +23,9 @@ STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 )
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(table(spark, sf_dir, "documents")).drop("same_text")
+
+
+@registered()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary)).drop("row")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,3 +48,11 @@ def batches(columns: dict[str, pa.DataType], rows: Iterator[tuple], size: int =
             held.clear()
     if held:
         yield batch()
+
+
+def kept(name: tuple, make):
+    """What ``make`` gives, made once per Python worker: shipped code has fresh globals in every task."""
+    held = sys.__dict__.setdefault("_bazaarflow_held", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]
