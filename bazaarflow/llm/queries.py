@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarflow.llm import packing
+from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
 from bazaarflow.sources.tables import table
@@ -29,3 +30,9 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary)).drop("row")
+
+
+@registered()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_pieces(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
