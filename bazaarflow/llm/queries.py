@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarflow.llm import packing
+from bazaarflow.llm import language, packing
 from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
@@ -36,3 +36,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_pieces(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
+@registered()
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    parser = language.train(docs.where(~language.held_out()))
+    return language.detect(docs.select("doc_id", language.held_out().alias("held_out"), "text"), parser).drop("text")
