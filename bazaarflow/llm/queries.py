@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarflow.llm import language, packing
+from bazaarflow.llm import language, packing, set_join
 from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
@@ -43,3 +43,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     parser = language.train(docs.where(~language.held_out()))
     return language.detect(docs.select("doc_id", language.held_out().alias("held_out"), "text"), parser).drop("text")
+
+
+@registered()
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.similar_components(table(spark, sf_dir, "documents")).drop("kept", "same_text")
