@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarflow.llm import language, packing, set_join
+from bazaarflow.llm import language, packing, pii, set_join
 from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
@@ -48,3 +49,16 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.similar_components(table(spark, sf_dir, "documents")).drop("kept", "same_text")
+
+
+@registered()
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.train(docs))
+    base = F.col("base_spans")
+    return found.select(
+        "doc_id",
+        *[pii.count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.concat("base_spans", "added_spans")).alias("spans"),
+    )
