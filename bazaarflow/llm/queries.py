@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarflow.llm import language, packing, pii, set_join
+from bazaarflow.llm import fingerprints, language, packing, pii, set_join
 from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
@@ -62,3 +62,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
         pii.spans_text(F.concat("base_spans", "added_spans")).alias("spans"),
     )
+
+
+@registered()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_edits(table(spark, sf_dir, "documents"))
