@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarflow.llm.tasks import written
+
 # Short notices of common licences under their usual identifiers.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -42,20 +44,21 @@ def notices(files: DataFrame, text: str = "text", path: str = "path") -> DataFra
     different notices of all files a term occurs. Ties go to the first name.
     """
     spark = files.sparkSession
-    lines = files.where(F.col(text).rlike(NOTICE)).select(
+    found = files.where(F.col(text).rlike(NOTICE)).select(
         F.col(path).alias("path"), F.explode(F.filter(F.split(F.col(text), r"\R", -1), lambda x: x.rlike(NOTICE))).alias("line")
     )
+    lines = written(found, "notices")
     # Different lines first: a notice that a third of all files carry is compared once.
     kinds = lines.select("line").distinct()
     templates = _templates(spark)
-    total = kinds.agg(F.count(F.lit(1)).alias("lines"))
+    total = kinds.count()
     counted = kinds.select("line", F.explode(_terms(F.col("line"))).alias("term")).groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"))
     often = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # The terms of the templates, at most a few hundred, with their weights.
-    idf = F.log((F.col("lines") + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    known = templates.join(often, "term", "left").crossJoin(F.broadcast(total)).select("license", "term", (F.col("t_tf") * idf).alias("t"))
+    idf = F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
+    known = templates.join(often, "term", "left").select("license", "term", (F.col("t_tf") * idf).alias("t"))
     length = known.groupBy("license").agg(F.sqrt(F.sum(F.col("t") * F.col("t"))).alias("t_length"))
-    weighted = counted.join(often, "term").join(F.broadcast(total)).select("line", "term", (F.col("tf") * idf).alias("w"))
+    weighted = counted.join(often, "term").select("line", "term", (F.col("tf") * idf).alias("w"))
     own = weighted.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("w_length"))
     both = weighted.join(F.broadcast(known), "term").groupBy("line", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
     like = F.col("dot") / (F.col("w_length") * F.col("t_length"))
@@ -102,7 +105,7 @@ def licences(files: DataFrame, text: str = "text", path: str = "path", licence_f
     # Folders, not files, look for what lies above them: a hot folder asks once.
     above = F.transform(
         F.sequence(F.lit(1), F.least(F.size(F.split("folder", "/", -1)), F.lit(DEPTH))),
-        lambda n: F.struct(n.alias("depth"), F.substring_index("folder", "/", n).alias("above")),
+        lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(F.split("folder", "/", -1), 1, n), "/").alias("above")),
     )
     folders = paths.select("folder").where(F.col("folder").isNotNull()).distinct().withColumn("a", F.explode(above)).select("folder", "a.depth", "a.above")
     nearest = (
