@@ -1,13 +1,81 @@
-"""Documents to packed training sequences: the stages of the corpus pipeline."""
+"""Documents to packed training sequences: the stages of the corpus pipeline.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept.
+Rows of one stage's decisions are found again by id and a hash of the whole
+text, so a repeated id with another text is another document.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from bazaarflow.llm import language, packing, pii, set_join
+from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.tasks import written
 from bazaarflow.sources.tables import table
 
-STAGES: list = []
+#: Near copies share this part, above / below, of their shingles of so many words.
+WORDS, ABOVE, BELOW = 5, 80, 100
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a language: null texts and texts without a letter.
+
+    Learns from the labelled documents that are not held out. Short or mixed texts get
+    their nearest language and stay. An empty table stays empty.
+    """
+    parser = language.train(docs.where(~language.held_out()))
+    found = language.detect(docs, parser, names=("__lang", "__score"))
+    # Without labels nothing can be told, then letters alone decide.
+    spoken = F.col("__lang") != language.UNDETERMINED if parser else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return found.where(spoken).select(docs.columns)
+
+
+def one_of_equal_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one of every class of equal texts, as the exact index decides."""
+    return _kept(docs, exact_copies(docs))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of every component of similar ones."""
+    return _kept(docs, set_join.similar_components(docs, words=WORDS, above=ABOVE, below=BELOW))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in all texts; ``n_chars`` follows the text."""
+    out = pii.redact(docs, trees=pii.train(docs))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their places in sequences."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.token_pieces(docs, vocabulary)).drop("row")
+
+
+def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text were decided to stay; of repeated rows one."""
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    stays = decided.where("kept").select(number.alias("__id"), F.col("same_text").alias("__same")).distinct()
+    keyed = docs.withColumn("__id", number).withColumn("__same", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    # The join has dealt the rows by id and text already; only repeated rows compete.
+    first = Window.partitionBy("__id", "__same").orderBy("__same")
+    joined = keyed.join(stays, ["__id", "__same"], "left_semi")
+    return joined.withColumn("__n", F.row_number().over(first)).where(F.col("__n") == 1).select(docs.columns)
+
+
+STAGES = [
+    ("language", languages),
+    ("exact", one_of_equal_texts),
+    ("near", one_of_near_copies),
+    ("personal", without_personal_data),
+    ("packing", sequences),
+]
 ORACLE_SQL = None
 
 
