@@ -13,6 +13,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -165,7 +166,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the ``fingerprint`` of a text; all rows and columns stay, null texts count as empty."""
 
     @F.pandas_udf("string")
-    def found(parts: Iterator) -> Iterator:
+    def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             yield part.map(lambda t: shown(fingerprint((t or "").encode())))
 
