@@ -28,12 +28,12 @@ def first_per_key(
 def stream_dedup(stream: DataFrame, key: str = KEY, salts: int = 1) -> DataFrame:
     """A key once let through never passes again; state grows with the keys.
 
-    With ``salts`` above 1 rows are first reduced per key and input partition
-    group, so that a very frequent key is spread over that many state tasks
+    With ``salts`` above 1 rows are first reduced per key and salt, a hash of
+    the whole row, so that a very frequent key is spread over that many state tasks
     and at most that many of its rows ever reach the second, exact step.
     """
     if salts > 1:
-        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+        salt = F.pmod(F.xxhash64(*stream.columns), F.lit(salts))
         stream = stream.withColumn("_salt", salt).dropDuplicates([key, "_salt"]).drop("_salt")
     return stream.dropDuplicates([key])
 
@@ -79,7 +79,7 @@ def drop_known(
         return keyed.join(stored, key, "left_anti").select(*batch.columns)
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     known = known_keys(batch, target, key).withColumn("_salt", every_salt)
-    salted = keyed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salted = keyed.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
     return salted.join(known, [key, "_salt"], "left_anti").select(*batch.columns)
 
 

@@ -9,27 +9,36 @@ from bazaarflow.functions.text import text_or
 from bazaarflow.functions.urls import listing_url
 from bazaarflow.schema import LISTING_FIELDS, MISSING, UNKNOWN_SECTION, Site
 
-# Only the fields that are read: from_json skips everything else.
-PAYLOAD_SCHEMA = """
-  data struct<getListingSections: struct<sections: array<struct<
-    title: string,
-    ads: array<struct<
-      adId: string, listId: string, title: string, listTime: string,
-      category: struct<name: string>,
-      price: struct<withCurrency: string>,
-      location: struct<city: struct<name: string>>,
-      media: struct<defaultImage: struct<paths: struct<standard: string>>>
-    >>
-  >>>>
+# Only the fields that are read: from_json skips everything else. Sections and
+# ads stay texts until each is read alone, so a bad one costs only itself.
+PAYLOAD_SCHEMA = "data struct<getListingSections: struct<sections: array<string>>>"
+SECTION_SCHEMA = "title string, ads array<string>"
+AD_SCHEMA = """
+  adId string, listId string, title string, listTime string,
+  category struct<name: string>,
+  price struct<withCurrency: string>,
+  location struct<city: struct<name: string>>,
+  media struct<defaultImage: struct<paths: struct<standard: string>>>
 """
 _SECTIONS = "data.getListingSections.sections"
 
 
+def _sections(payloads: DataFrame, payload: str) -> DataFrame:
+    kept = [name for name in payloads.columns if name != payload]
+    body = F.from_json(payload, PAYLOAD_SCHEMA)
+    parsed = payloads.select(*kept, F.col(payload).alias("_payload"), F.inline(F.array(F.struct(body.alias("_body")))))
+    return parsed.select(*kept, "_payload", F.posexplode_outer(f"_body.{_SECTIONS}").alias("section_no", "_section"))
+
+
 def sections(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per section; the other columns of the payload row are kept."""
+    """One row per section, its ads as texts; the other columns of the payload row are kept."""
     kept = [name for name in payloads.columns if name != payload]
-    parsed = payloads.select(*kept, F.from_json(payload, PAYLOAD_SCHEMA).alias("_body"))
-    return parsed.select(*kept, F.explode(f"_body.{_SECTIONS}").alias("section"))
+    found = _sections(payloads, payload).where(_is_object(F.col("_section")))
+    return found.select(*kept, F.from_json("_section", SECTION_SCHEMA).alias("section"))
+
+
+def _is_object(text: Column) -> Column:
+    return F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
 
 
 def unreadable_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -37,6 +46,30 @@ def unreadable_payloads(payloads: DataFrame, payload: str = "payload") -> DataFr
     return payloads.where(F.try_parse_json(F.col(payload)).isNull())
 
 
+def rejected_parts(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """What of the payloads gives no listing, down to the ad, with the reason and the text.
+
+    Payloads that are no JSON or have no list of sections, sections that are no
+    object or whose ads are no list, and ads that are no object. ``section_no`` and ``ad_no`` count
+    from 0 and are null above their level. The other columns of the payload row are kept.
+    """
+    kept = [name for name in payloads.columns if name != payload]
+    found = _sections(payloads, payload).withColumn("_read", F.from_json("_section", SECTION_SCHEMA))
+    none = F.lit(None).cast("int")
+    whole = found.where(F.col("section_no").isNull())
+    listed = F.expr(f"try_variant_get(try_parse_json(_payload), '$.{_SECTIONS}', 'array<variant>')").isNotNull()
+    reason = F.when(F.try_parse_json("_payload").isNull(), "not JSON").otherwise("no list of sections")
+    # An empty list of sections is nothing bad.
+    whole = whole.where(~F.coalesce(listed, F.lit(False))).select(*kept, none.alias("section_no"), none.alias("ad_no"), reason.alias("reason"), F.col("_payload").alias("record"))
+    inner = found.where(F.col("section_no").isNotNull())
+    has_ads = F.expr("variant_get(try_parse_json(_section), '$.ads', 'variant')").isNotNull()
+    reason = F.when(~_is_object(F.col("_section")), "section is no object").when(F.col("_read.ads").isNull() & has_ads, "ads are no list")
+    parts = inner.select(*kept, "section_no", none.alias("ad_no"), reason.alias("reason"), F.col("_section").alias("record")).where("reason is not null")
+    ads = inner.where(_is_object(F.col("_section"))).select(*kept, "section_no", F.posexplode("_read.ads").alias("ad_no", "record"))
+    bad = ads.where(~_is_object(F.col("record"))).select(*kept, "section_no", "ad_no", F.lit("ad is no object").alias("reason"), "record")
+    return whole.unionByName(parts).unionByName(bad)
+
+
 def ads_per_section(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     kept = [name for name in payloads.columns if name != payload]
     return sections(payloads, payload).select(
@@ -83,8 +116,11 @@ def _plain_ads(stamped: DataFrame) -> DataFrame:
         .select(
             "scraped_at",
             text_or(F.col("section.title"), UNKNOWN_SECTION).alias("subcategory"),
-            F.explode("section.ads").alias("ad"),
+            F.explode("section.ads").alias("_ad"),
         )
+        .where(_is_object(F.col("_ad")))
+        # A generator, so that the filter on the id doesn't read the ad again.
+        .select("scraped_at", "subcategory", F.inline(F.array(F.struct(F.from_json("_ad", AD_SCHEMA).alias("ad")))))
         .where(_has_id(F.col("ad.adId")))
     )
     return ads.select(
@@ -120,6 +156,12 @@ def _is_null(parent: str, path: str) -> Column:
     return F.coalesce(F.is_variant_null(_member(parent, path)), F.lit(False))
 
 
+def _is_plain(parent: str, path: str) -> Column:
+    """A text or number where an object belongs."""
+    kind = F.schema_of_variant(_member(parent, path))
+    return F.coalesce(~_is_null(parent, path) & ~kind.startswith("OBJECT"), F.lit(False))
+
+
 def _strict_text(parent: str, path: str, default: Column | str) -> Column:
     """The field as text; the default when absent; NULL when it is null."""
     fallback = default if isinstance(default, Column) else F.lit(default)
@@ -145,6 +187,9 @@ def _strict_ads(stamped: DataFrame) -> DataFrame:
         _is_null("ad", "category")
         | _is_null("ad", "location.city")
         | _is_null("ad", "media.defaultImage.paths")
+        | _is_plain("ad", "category")
+        | _is_plain("ad", "price")
+        | _is_plain("ad", "location")
     )
     list_id = F.when(_is_null("ad", "listId"), F.lit("None")).otherwise(
         _strict_text("ad", "listId", "")

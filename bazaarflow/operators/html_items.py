@@ -175,7 +175,9 @@ def _read_tolerant(pages: DataFrame, spec: ItemSpec, html: str) -> DataFrame:
             for index, text in enumerate(batch.column(html)):
                 if not text.is_valid:
                     continue
-                root = read_page(text.as_py())
+                root = _root_of(text.as_py())
+                if root is None:
+                    continue
                 items = child_items(root, spec.list_tag, spec.list_class, spec.item_tag)
                 for number, item in enumerate(items):
                     at.append(index)
@@ -189,6 +191,30 @@ def _read_tolerant(pages: DataFrame, spec: ItemSpec, html: str) -> DataFrame:
     return pages.select(*kept, html).mapInArrow(read, ", ".join([*kept_types, RAW_ITEM]))
 
 
+def _root_of(html: str) -> Node | None:
+    """The page's tree; None if the parser gives up on it."""
+    try:
+        return read_page(html)
+    except (AssertionError, ValueError, IndexError):
+        return None
+
+
+def rejected_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Pages the tolerant reader can't read, with the reason; the other columns are kept."""
+    kept = [name for name in pages.columns if name != html]
+    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html]
+
+    def failed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(html).to_pylist()
+            at = [n for n, text in enumerate(texts) if text is None or _root_of(text) is None]
+            reasons = ["no text" if texts[n] is None else "unreadable markup" for n in at]
+            sides = [batch.column(name).take(pa.array(at, pa.int32())) for name in kept]
+            yield pa.RecordBatch.from_arrays([*sides, pa.array(reasons, pa.string())], [*kept, "reason"])
+
+    return pages.select(*kept, html).mapInArrow(failed, ", ".join([*types, "reason string"]))
+
+
 # --- native reader -----------------------------------------------------------
 
 _CLASS_OF = r"""(?is)^<\w+\b[^>]*?\sclass\s*=\s*["']([^"']*)["']"""

@@ -67,6 +67,14 @@ class _Builder(HTMLParser):
     def handle_comment(self, data):
         self.current.children.append(Comment(data))
 
+    def parse_marked_section(self, i, report=1):
+        """Sections that word processors leave (``<![if ...]>``) are comments; the parser knows some only."""
+        end = self.rawdata.find(">", i)
+        if end < 0:
+            return -1
+        self.handle_comment(self.rawdata[i + 2 : end])
+        return end + 1
+
 
 def read_page(html: str) -> Node:
     builder = _Builder()

@@ -39,6 +39,12 @@ def parse_messages(raw: DataFrame, feed: Feed = FEED_A, value: str = "value") ->
     return unify_time(flat, "_time").select(*LISTING_FIELDS, "raw", "broken")
 
 
+def parse_fields(df: DataFrame, column: str, schema: str) -> DataFrame:
+    """Fields of the JSON objects in a column as columns of their own; the other columns are kept."""
+    kept = [name for name in df.columns if name != column]
+    return df.select(*kept, F.inline(F.array(F.from_json(column, schema))))
+
+
 def accepted(parsed: DataFrame, key: str = KEY) -> DataFrame:
     return parsed.where(F.col(key).isNotNull()).select(*LISTING_FIELDS)
 

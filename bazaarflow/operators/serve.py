@@ -78,10 +78,10 @@ def by_location(df: DataFrame, location: str = ALL_LABEL) -> DataFrame:
 
 
 def by_sources(df: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """Source contains any of the given texts; none given means all rows."""
+    """Source contains any of the given texts in any letter case; none given means all rows."""
     if not sources:
         return df
-    return df.where(F.lower("source").rlike(any_of(sources)))
+    return df.where(F.lower("source").rlike(any_of(re.escape(text.lower()) for text in sources)))
 
 
 def by_budget(df: DataFrame, budget: float | None = None) -> DataFrame:
@@ -119,16 +119,15 @@ def cards(
     other: str,
     tie_break: list[str] | None = None,
     columns: int = GRID_COLUMNS,
-    rows: int = SNAPSHOT_ROWS,
 ) -> DataFrame:
     """Display values of a search result, dealt out over the grid columns.
 
-    ``df`` comes from ``latest``; the same limit here keeps the numbering
-    window, which has no partitions, as small as the snapshot.
+    ``df`` comes from a snapshot, whose rows are bounded, so the numbering
+    window, which has no partitions, is no larger than that.
     """
     order = newest_first(tie_break or [KEY])
     place = F.row_number().over(W.orderBy(*order)) - 1
-    return df.orderBy(*order).limit(rows).select(
+    return df.select(
         place.cast("long").alias("place"),
         (place % columns).cast("long").alias("slot"),
         shown_image(F.col("image_url")).alias("image"),

@@ -14,7 +14,7 @@ from bazaarflow.operators import clean, counts, dedup, flatten, html_items, pars
 from bazaarflow.plans import example_listings as example
 from bazaarflow.plans.example_listings import AS_OF, SITE_A, SITE_B, SQL_VIEW, STORED_BEFORE
 from bazaarflow.plans.feeds import merged_feeds, page_messages, payload_messages
-from bazaarflow.plans.screen import result_cards, snapshot
+from bazaarflow.plans.screen import result_cards, side_bar, snapshot
 from bazaarflow.schema import FEED_A, FEED_B, FULL_MONTHS, LISTING_FIELDS, MONTHS
 from bazaarflow.sources import tables
 from bazaarflow.sources.tables import table
@@ -166,8 +166,7 @@ def invalid_lengths(spark, folder):
 
 @checked("select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
 def parse_event_json(spark, folder):
-    events = table(spark, folder, "events").select("event_id", F.from_json("props", "k bigint").alias("data"))
-    return events.select("event_id", "data.*")
+    return parse.parse_fields(table(spark, folder, "events").select("event_id", "props"), "props", "k bigint")
 
 
 @checked(over_listings(f"select {FIELDS} from listings"))
@@ -259,6 +258,25 @@ def unreadable_payloads(spark, folder):
     return flatten.unreadable_payloads(made.withColumn("payload", cut)).select("payload_no")
 
 
+@checked(over_listings(f"select {FIELDS} from flat where listing_no % 37 <> 0", _FLAT))
+def flatten_bad_ads(spark, folder):
+    """A text before the first ad of every section, and a text and a number among the sections: all others survive."""
+    made = example.with_bad_parts(example.payloads(_listings(spark, folder)))
+    return flatten.flatten_sections(made, SITE_A, scraped_at="scraped_at")
+
+
+@checked(
+    over_listings(
+        f"select payload_no, reason, count(*) as parts from (select distinct {_CHUNK} as payload_no, subcategory, "
+        f"'ad is no object' as reason from listings union all select distinct {_CHUNK}, n, 'section is no object' "
+        f"from listings, (values ('a'), ('b')) v(n)) group by 1, 2"
+    )
+)
+def rejected_payload_parts(spark, folder):
+    made = example.with_bad_parts(example.payloads(_listings(spark, folder))).drop("scraped_at")
+    return flatten.rejected_parts(made).groupBy("payload_no", "reason").agg(F.count(F.lit(1)).alias("parts"))
+
+
 @checked(over_listings(f"select {FIELDS} from flat where listing_no % 37 <> 0", _FLAT))
 def payload_feed(spark, folder):
     """Payloads to messages to listings."""
@@ -341,6 +359,15 @@ def extract_items(spark, folder):
     return _page_links(spark, folder, "tolerant")
 
 
+@checked(_LINK_SQL)
+def extract_broken_pages(spark, folder):
+    """Sections of word processors before every page's body are comments."""
+    html = F.concat(F.lit("<![foo bar]><![if !x]>"), F.replace(F.col("html"), F.lit("<body>"), F.lit("<body><![endif]>")))
+    pages = table(spark, folder, "pages").select("page_id", html.alias("html"))
+    items = html_items.with_mandatory(html_items.read_items(pages, NAV), date=False)
+    return items.select("page_id", "item_no", "title", "href", resolve_url(F.col("href"), SITE_B.base_url).alias("url"))
+
+
 @checked(_LINK_SQL)
 def extract_items_native(spark, folder):
     return _page_links(spark, folder, "native")
@@ -641,6 +668,7 @@ _search("search_location", "location = 'Maroc'", location="Maroc")
 _search(
     "search_sources", "regexp_matches(lower(source), 'site a|autre')", sources=["site a", "autre"]
 )
+_search("search_sources_mixed_case", "regexp_matches(lower(source), 'site a|autre')", sources=["Site A", "AUTRE"])
 _search("search_budget", "price_num <= 150000", budget=150000)
 _search("search_keyword", "regexp_matches(title, '(?i)CUSTOMER#0+[1-4].* [fo]$')", keyword="CUSTOMER#0+[1-4].* [fo]$")
 _search("search_literal", "contains(lower(title), '0 o')", keyword="0 O", literal=True)
@@ -672,6 +700,39 @@ def cards(spark, folder):
     return result_cards(df, "site a", "first", "second", ["listing_no"], **CRITERIA)
 
 
+@checked(
+    over_listings(
+        "select cast(place as bigint) as place, cast(place % 3 as bigint) as slot, source, title, location, url "
+        "from (select *, row_number() over (order by scraped_at desc, listing_no) - 1 as place from served)",
+        SERVED.replace("limit 2000", "limit 3000"),
+    )
+)
+def cards_3000(spark, folder):
+    """A larger snapshot is numbered whole."""
+    found = result_cards(_listings(spark, folder), "site a", "first", "second", ["listing_no"], rows=3000)
+    return found.select("place", "slot", "source", "title", "location", "url")
+
+
+@checked(over_listings("select 'Toutes' as value union all select distinct category from served", SERVED))
+def screen_categories(spark, folder):
+    return side_bar(snapshot(_listings(spark, folder), tie_break=["listing_no"]))["categories"]
+
+
+@checked(over_listings("select 'Toutes' as value union all select distinct location from served", SERVED))
+def screen_locations(spark, folder):
+    return side_bar(snapshot(_listings(spark, folder), tie_break=["listing_no"]))["locations"]
+
+
+@checked(
+    over_listings(
+        "select case when max(price_num) > 0 then max(price_num) else 100000 end as ceiling, count(*) as rows from served",
+        SERVED,
+    )
+)
+def screen_ceiling(spark, folder):
+    return side_bar(snapshot(_listings(spark, folder), tie_break=["listing_no"]))["ceiling"]
+
+
 @checked(
     over_listings(
         "select listing_no, case when coalesce(image_url, '') in ('', 'N/A') then "

@@ -151,6 +151,12 @@ def payloads(df: DataFrame) -> DataFrame:
 ITEMS_PER_PAGE = 25
 
 
+def with_bad_parts(made: DataFrame) -> DataFrame:
+    """Payloads with a text as first ad of every section, and a text and a number before the sections."""
+    ads = F.replace(F.col("payload"), F.lit('"ads":['), F.lit('"ads":["oops",'))
+    return made.withColumn("payload", F.replace(ads, F.lit('"sections":['), F.lit('"sections":["oops",7,')))
+
+
 def item_pages(df: DataFrame, nested: bool = True) -> DataFrame:
     """One HTML page per 25 consecutive listings.
 

@@ -12,7 +12,7 @@ from bazaarflow.operators.dedup import merged, stream_dedup
 from bazaarflow.operators.flatten import flatten_sections
 from bazaarflow.operators.html_items import extract_items
 from bazaarflow.operators.parse import parse_messages, to_messages
-from bazaarflow.schema import FEED_A, FEED_B, Feed, Site
+from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS, Feed, Site
 from bazaarflow.streaming.insert import start_insert, storable
 from bazaarflow.streaming.targets import JdbcTarget, LakeTarget
 
@@ -61,7 +61,8 @@ def store_feed_by_state(
     large the target is. Rows that cannot be stored do not enter the state;
     ``set_aside_feed`` is the query that keeps them.
     """
-    fitting = parse_messages(raw, feed).where(storable())
+    # The raw text has done its work; it doesn't travel through the state.
+    fitting = parse_messages(raw, feed).where(storable()).select(*LISTING_FIELDS)
     once = stream_dedup(fitting, salts=salts)
     against = "others" if other_writers else "none"
     return start_insert(once, target, f"{feed.name}_by_state", checkpoint, every, against)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from bazaarflow.operators.clean import serving_columns
+from bazaarflow.operators.counts import facet, price_ceiling
 from bazaarflow.operators.serve import cards, latest_of_table, search
 from bazaarflow.schema import SNAPSHOT_ROWS
 
@@ -32,7 +33,17 @@ def result_cards(
     matching: str,
     other: str,
     tie_break: list[str] | None = None,
+    rows: int = SNAPSHOT_ROWS,
     **criteria,
 ) -> DataFrame:
-    served = snapshot(stored, tie_break=tie_break)
+    served = snapshot(stored, rows, tie_break)
     return found_cards(served, tag, matching, other, tie_break, **criteria)
+
+
+def side_bar(served: DataFrame) -> dict[str, DataFrame]:
+    """Choices of the search screen, all from the snapshot: categories, locations, ceiling and row count."""
+    return {
+        "categories": facet(served, "category"),
+        "locations": facet(served, "location"),
+        "ceiling": price_ceiling(served),
+    }

@@ -128,6 +128,17 @@ def state_settings(partitions: int) -> dict[str, str]:
     }
 
 
+#: Live inserting queries of this driver by target folder.
+_INSERTING: dict[str, StreamingQuery] = {}
+
+
+def _claim(path: str, name: str) -> None:
+    """Two live queries would each miss what the other is about to store."""
+    live = _INSERTING.get(path)
+    if live is not None and live.isActive:
+        raise ValueError(f"{live.name} is inserting into {path}; merge the feeds into one query instead of starting {name}")
+
+
 def start_insert(
     listings: DataFrame,
     target: LakeTarget | JdbcTarget,
@@ -142,8 +153,12 @@ def start_insert(
     its batches and a new checkpoint never overwrites those of an old one. A
     failing batch stops the query and is repeated by the next start.
     ``against`` is as in ``insert_new``; streams that passed ``stream_dedup``
-    need "others" at most.
+    need "others" at most. A second query that inserts into the same folder
+    is refused while the first one lives: feeds that share keys go through
+    ``store_merged_feeds``. Queries of other drivers are not seen.
     """
+    if against != "none" and isinstance(target, LakeTarget):
+        _claim(target.path, name)
     started = threading.Event()
     identity: dict[str, str] = {}
 
@@ -159,6 +174,8 @@ def start_insert(
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     query = writer.start()
+    if against != "none" and isinstance(target, LakeTarget):
+        _INSERTING[target.path] = query
     identity["writer"] = query.id
     started.set()
     return query

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,13 +66,18 @@ def with_ids(df: DataFrame, start: int) -> DataFrame:
     return placed.join(F.broadcast(begins), "_task").select(*df.columns, number.alias("id"))
 
 
+def _files(rows: int) -> int:
+    return rows // ROWS_PER_FILE + 1
+
+
 @dataclass(frozen=True)
 class LakeTarget:
     """Parquet folders partitioned by writer (a streaming query) and batch.
 
     A batch owns its partition and overwrites it, so a repeated batch leaves
     no second copy. ``log`` has one row per finished batch. Ids go on from the
-    highest in the log; writers that run side by side number independently.
+    highest id in the log of all writers, whose batches may alternate but not
+    overlap: ``start_insert`` lets one query at a time insert into a folder.
     """
 
     path: str
@@ -123,14 +127,9 @@ class LakeTarget:
         return stored
 
     def last_id(self, spark: SparkSession, writer: str, batch_id: int) -> int:
-        """From the writer's batch before, else from the whole log."""
-        before = f"{self.path}/log/writer={writer}/batch_id={batch_id - 1}"
-        try:
-            found = spark.read.schema("last_id bigint").parquet(before).first()
-            return found.last_id
-        except AnalysisException:
-            mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
-            return self.log(spark).where(~mine).agg(F.max("last_id")).first()[0] or 0
+        """The highest id of all writers' other batches."""
+        mine = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+        return self.log(spark).where(~mine).agg(F.max("last_id")).first()[0] or 0
 
     def append(self, fresh: DataFrame, rows: int, writer: str, batch_id: int) -> int:
         """Store rows under new ids; returns the last id given."""
@@ -141,7 +140,8 @@ class LakeTarget:
         return start + rows
 
     def set_aside(self, rejects: DataFrame, rows: int, writer: str, batch_id: int) -> None:
-        self._overwrite(rejects, "rejected", writer, batch_id, rows)
+        # A shuffle, not a coalesce, which would pull the scan before it into as few tasks.
+        self._overwrite(rejects.repartition(_files(rows)), "rejected", writer, batch_id, rows)
 
     def finish(self, report: Row, categories: DataFrame, writer: str, batch_id: int) -> None:
         spark = categories.sparkSession
@@ -153,9 +153,8 @@ class LakeTarget:
         self._overwrite(entry, "log", writer, batch_id, 1)
 
     def _overwrite(self, df: DataFrame, name: str, writer: str, batch_id: int, rows: int) -> None:
-        files = rows // ROWS_PER_FILE + 1
         place = f"{self.path}/{name}/writer={writer}/batch_id={batch_id}"
-        df.coalesce(files).write.mode("overwrite").parquet(place)
+        df.coalesce(_files(rows)).write.mode("overwrite").parquet(place)
 
     def newest(self, spark: SparkSession, rows: int = SNAPSHOT_ROWS, tie_break: list[str] | None = None) -> DataFrame:
         """The newest rows, reading recent batches only.
@@ -202,7 +201,9 @@ class JdbcTarget:
 
     def newest_options(self, rows: int = SNAPSHOT_ROWS) -> dict[str, str]:
         """Sorting and limit are left to the database."""
-        order = f"order by {WIRE_NAMES[TIME]} desc limit {int(rows)}"
+        time = WIRE_NAMES[TIME]
+        none_last = f"case when {time} is null then 1 else 0 end"
+        order = f"order by {none_last}, {time} desc, {WIRE_NAMES[KEY]} limit {int(rows)}"
         return {**self.options, "query": f"select * from {self.table} {order}"}
 
     def write_options(self) -> dict[str, str]:

@@ -33,33 +33,33 @@ def test_price_number(spark, chance):
     assert column(spark, texts, price_number) == expected
 
 
-def recent(text):
-    if any(mark in text for mark in ("Aujourd'hui", "cnt-today", "Hier", "Yesterday")):
-        return True
-    found = re.search(r"(\d{1,2})\s+(\w+)\s+(\d{4})", text)
-    if not found:
-        return False
-    try:
-        date = datetime(int(found[3]), MONTHS.get(found[2], 1), int(found[1]))
-    except ValueError:
-        return False
-    return date >= AS_OF - timedelta(days=3)
-
-
 def test_recent(spark, chance):
-    words = [*MONTHS, "Juillet", "mars", "FÉV", "x_1"]
-    texts = []
+    """Texts are written from what they mean, so each is known to be recent or not."""
+    names = {number: [word for word, n in MONTHS.items() if n == number] for number in range(1, 13)}
+    texts, recent = [], []
     for _ in range(4000):
-        day, year = chance.choice(["0", "1", "01", "9", "27", "28", "29", "30", "31", "32", "123"]), chance.choice(
-            ["2023", "2024", "2025", "0000", "20245", "99"]
-        )
-        gap = chance.choice([" ", "  ", "\u00a0", "\n", ""])
-        text = f"{day}{gap}{chance.choice(words)}{gap}{year}"
-        before = chance.choice(["", "le ", "5 Mar ", "<b>", "Hier? ", "hier "])
-        texts.append(before + text + chance.choice(["", "</b>", " 3 Mar 2024"]))
+        date = AS_OF + timedelta(days=chance.randint(-40, 40))
+        start = AS_OF - timedelta(days=3)
+        kind = chance.choice(["date", "date", "date", "word", "none"])
+        if kind == "date":
+            day = chance.choice([f"{date.day}", f"{date.day:02}"])
+            word = chance.choice(names[date.month]) if names[date.month] else None
+            if word is None:
+                continue
+            gap = chance.choice([" ", "  ", "\n"])
+            text = f"{chance.choice(['', 'le ', '<b>'])}{day}{gap}{word}{gap}{date.year}{chance.choice(['', '</b>', '!'])}"
+            # A written date has no time of day.
+            recent.append(datetime(date.year, date.month, date.day) >= start)
+        elif kind == "word":
+            text = chance.choice(["Aujourd'hui, 10:00", "Hier 9:15", "<i class=cnt-today>", "Yesterday"])
+            recent.append(True)
+        else:
+            text = chance.choice(["", "hier", "31 février", "32 Jan 2024", "2024-03-01", "31 Fév 2024", "bientôt"])
+            recent.append(False)
+        texts.append(text)
     found = column(spark, texts, lambda t: is_recent(t, AS_OF, strict=True))
-    assert found == [recent(t) for t in texts]
-    assert 100 < sum(found) < 3900
+    assert found == recent
+    assert 100 < sum(found) < len(found) - 100
 
 
 def test_markup_text(spark, chance):
