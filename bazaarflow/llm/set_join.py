@@ -14,6 +14,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,10 @@ AT_ONCE = 2 << 20
 ENTRIES = 1_500_000
 SIDE = 256
 #: For the cost of a partition: the chance that unrelated texts share a shingle, and the price of a comparison in index entries.
-SHARED = 0.03
+SHARED = 0.001
 COMPARED = 30.0
+#: How many short segments are spared, in deviations above their mean, and the part of all sets that has more.
+SPARED = ((1.0, 0.16), (2.0, 0.023), (2.5, 0.0062), (3.0, 0.0014))
 
 
 def _random(count: int, seed: int) -> np.ndarray:
@@ -120,21 +123,24 @@ def partition(differ: int, size: float, count: float) -> Partition:
     """Cheapest cut for ``count`` sets of about ``size`` shingles that differ in at most ``differ``."""
     best, least = None, math.inf
     for double in sorted({0, (differ + 1) // 4, (differ + 1) // 2, (differ + 2) // 2}):
-        for short in (-1, 0, 1, 2):
+        for short, (deviations, beyond) in product((-1, 0, 1, 2), SPARED):
             spare = 0
-            for _ in range(8):
+            for _ in range(60):
                 single = max(0, differ + 1 + spare - 2 * double)
-                mean = size / max(1, single + double)
-                few = sum(_poisson(mean, j) for j in range(short + 1))
-                spare = 0 if short < 0 or not single else math.ceil(single * few + 3 * math.sqrt(single * few)) + 1
-            single = max(0, differ + 1 + spare - 2 * double)
-            if single + double == 0:
-                continue
-            mean = size / (single + double)
-            odds = [(j, _poisson(mean, j)) for j in range(int(mean + 6 * math.sqrt(mean)) + 4)]
-            agree = single * sum(p * p * SHARED**j for j, p in odds if j > short)
-            agree += double * sum(p * p * (j + 1) ** 2 * SHARED ** max(0, j - 1) for j, p in odds)
-            cost = count * (single + double * (1 + mean)) + count * count / 2 * agree * COMPARED
+                if single + double == 0:
+                    break
+                odds = [_poisson(size / (single + double), j) for j in range(int(8 * size / (single + double)) + 8)]
+                few = single * sum(odds[: short + 1])
+                needed = math.ceil(few + deviations * math.sqrt(few)) + 1 if short >= 0 and single else 0
+                if needed <= spare or needed > size:
+                    break
+                spare = needed
+            if single + double == 0 or needed > spare:
+                continue  # ever more segments would be short
+            agree = [p * p * SHARED**j for j, p in enumerate(odds)]
+            agrees = single * (sum(agree[short + 1 :]) + beyond**2 * sum(agree[: short + 1]))
+            agrees += double * sum(p * p * (j + 1) ** 2 * SHARED ** max(0, j - 1) for j, p in enumerate(odds))
+            cost = count * (single + double * (1 + size / (single + double))) + count * count / 2 * agrees * COMPARED
             if cost < least:
                 best, least = Partition(single, double, short, spare), cost
     return best
