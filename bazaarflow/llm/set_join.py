@@ -34,6 +34,8 @@ SIDE = 256
 #: For the cost of a partition: the chance that unrelated texts share a shingle, and the price of a comparison in index entries.
 SHARED = 0.001
 COMPARED = 30.0
+#: Width of a band in steps of the largest ratio of similar sizes.
+WIDE = 2
 #: How many short segments are spared, in deviations above their mean, and the part of all sets that has more.
 SPARED = ((1.0, 0.16), (2.0, 0.023), (2.5, 0.0062), (3.0, 0.0014))
 
@@ -166,40 +168,55 @@ class Bands:
         """Largest size that a similar set can have."""
         return size * self.below // self.above
 
+    def last(self, band: int) -> int:
+        """Largest size of a band, which is so wide that few sets are near its end."""
+        size = self.starts[band]
+        for _ in range(WIDE):
+            size = self.highest(size)
+        return size
+
     def band(self, size: int) -> int:
         while self.starts[-1] <= size:
-            self.starts.append(self.highest(self.starts[-1]) + 1)
+            self.starts.append(self.last(len(self.starts) - 1) + 1)
         return int(np.searchsorted(self.starts, size, "right")) - 1
 
+    def differ(self, sizes: int) -> int:
+        """In how many shingles similar sets of so many together can differ."""
+        return sizes * (self.below - self.above) // (self.below + self.above)
+
     def _cut(self, band: int) -> Partition | None:
         """The cut for pairs whose larger set lies in the band; None where only equal sets are similar."""
-        low = self.starts[band]
-        high = self.highest(low)
-        differ = 2 * high * (self.below - self.above) // (self.below + self.above)
+        low, high = self.starts[band], self.last(band)
+        differ = self.differ(2 * high)
         if differ == 0:
             return None
         steps = range(step(self.starts[max(0, band - 1)]), step(high) + 1)
         return partition(differ, (low + high) / 2, sum(self.counts.get(s, 0) for s in steps))
 
     def entries(self, shingles: np.ndarray) -> Iterator[np.ndarray]:
-        """Index entries of a set: for pairs in its band and for pairs with the band above."""
+        """Index entries of a set: for pairs in its band and for pairs with the band above.
+
+        Of the segments only as many are indexed, from the first on, as the
+        set's own size asks for: a similar set has all that the smaller of both needs.
+        """
         size = len(shingles)
+        highest = self.highest(size)
         band = self.band(size)
-        self.band(self.highest(size) + 1)
+        self.band(highest + 1)
         for of in (band, band + 1):
-            if self.highest(size) < self.starts[of]:
+            if highest < self.starts[of]:
                 continue
             cut = self.cut(of)
             if cut is not None:
-                yield _entries(shingles, cut, of)
+                yield _entries(shingles, cut, of, self.differ(size + min(highest, self.last(of))))
 
 
 def step(size: int) -> int:
     return int(math.log(size) * 20)
 
 
-def _entries(shingles: np.ndarray, cut: Partition, band: int) -> np.ndarray:
-    segments = cut.single + cut.double
+def _entries(shingles: np.ndarray, cut: Partition, band: int, differ: int) -> np.ndarray:
+    segments = cut.double + cut.single
     place = ((_mixed(shingles ^ _FACTORS[2]) >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
     value = _mixed(shingles + _FACTORS[3])
     count = np.bincount(place, minlength=segments)
@@ -207,15 +224,18 @@ def _entries(shingles: np.ndarray, cut: Partition, band: int) -> np.ndarray:
     running = np.concatenate([[np.uint64(0)], np.cumsum(value[order])])
     ends = np.cumsum(count)
     sums = running[ends] - running[ends - count]
+    # Double segments come first, then single ones, until the set's own need is met.
+    need = differ + 1 + cut.spare
+    double = min(cut.double, (need + 1) // 2)
     number = np.arange(segments)
-    indexed = np.ones(segments, bool)
+    indexed = (number < double) | ((number >= cut.double) & (number < cut.double + max(0, need - 2 * double)))
     if cut.short >= 0:
-        short = (count <= cut.short) & (number < cut.single)
+        short = indexed & (count <= cut.short) & (number >= cut.double)
         if short.sum() <= cut.spare:
-            indexed = ~short
+            indexed &= ~short
     kinds, content = number[indexed], sums[indexed]
-    if cut.double:
-        doubled = np.flatnonzero(place >= cut.single)
+    if double:
+        doubled = np.flatnonzero(place < double)
         kinds = np.concatenate([kinds, place[doubled]])
         content = np.concatenate([content, sums[place[doubled]] - value[doubled]])
     return _mixed(content + _mixed(kinds.astype(np.uint64) * _FACTORS[4] + np.uint64(band * int(_FACTORS[5]) % 2**64)))
