@@ -34,6 +34,11 @@ _STORED_FIRST = (
     "from listings where url not in (select url from stored)) where n = 1)"
 )
 
+_EARLIEST = (
+    f"earliest as (select {FIELDS} from (select *, row_number() over (partition by url order by {_ORDER}) as n "
+    "from listings) where n = 1)"
+)
+
 
 def _drain(stream: DataFrame, folder: str) -> DataFrame:
     """Run a stream into files and read them back."""
@@ -104,13 +109,13 @@ def stream_insert(spark, folder):
     return _streamed(spark, folder).read(spark).select(*LISTING_FIELDS)
 
 
-@checked(over_listings("select distinct url from listings"))
+@checked(over_listings(f"select {FIELDS} from earliest", _EARLIEST))
 def stream_feed(spark, folder):
-    """Messages through parsing into an empty target."""
+    """Messages through parsing into an empty target; the earliest row of each address stays."""
     target = LakeTarget(working_folder(spark, "target")).create(spark)
     sent = parse.to_messages(example.listings_stream(spark, folder), FEED_A)
     store_feed(sent, FEED_A, target, working_folder(spark, "checkpoint"), every=None).awaitTermination()
-    return target.read(spark).select("url")
+    return target.read(spark).select(*LISTING_FIELDS)
 
 
 @checked(over_listings("select distinct url from listings"))
@@ -200,3 +205,41 @@ def stored_ids(spark, folder):
         F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"),
         F.min("id").alias("first_id"), F.max("id").alias("last_id"),
     )
+
+
+@checked(
+    over_listings(
+        "select count(distinct url) as rows, count(distinct url) as ids, count(distinct url) as urls, "
+        "1 as first_id, count(distinct url) as last_id from listings"
+    )
+)
+def stored_ids_two_writers(spark, folder):
+    """Batches of two writers in turn: ids stay distinct and dense, addresses single."""
+    target = LakeTarget(working_folder(spark, "target")).create(spark)
+    rows = example.listings(spark, folder)
+    for number, (writer, batch_id) in enumerate((("a", 0), ("b", 0), ("a", 1), ("b", 1))):
+        insert_new(rows.where(F.col("listing_no") % 4 == number), target, writer, batch_id, staged=True)
+    return target.read(spark).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.count_distinct("url").alias("urls"),
+        F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+    )
+
+
+@checked(
+    over_listings(
+        "select 'no key' as reason, count(*) as rows from listings where listing_no % 5 = 0 "
+        "union all select 'too long: source', count(*) from listings where listing_no % 5 <> 0 and listing_no % 7 = 0"
+    )
+)
+def insert_rejects(spark, folder):
+    """A staged load with rows that have no address or too long a source."""
+    target = LakeTarget(working_folder(spark, "target")).create(spark)
+    number = F.col("listing_no")
+    rows = example.listings(spark, folder).select(
+        *[F.col(c) for c in LISTING_FIELDS if c not in ("url", "source")], "listing_no",
+        F.when(number % 5 != 0, F.col("url")).alias("url"),
+        F.when(number % 7 == 0, F.repeat(F.lit("x"), 300)).otherwise(F.col("source")).alias("source"),
+    )
+    insert_new(rows, target, "load", staged=True)
+    found = target.rejected(spark).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return found
