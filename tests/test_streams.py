@@ -286,7 +286,8 @@ def test_relational_target_options():
     target = JdbcTarget({"url": "jdbc:x", "user": "u"}, "ads")
     assert target.write_options()["dbtable"] == "ads"
     assert target.newest_options(5)["query"] == (
-        "select * from ads order by timestamp_scraped desc limit 5"
+        "select * from ads order by case when timestamp_scraped is null then 1 else 0 end, "
+        "timestamp_scraped desc, url limit 5"
     )
     ddl = table_ddl("ads")
     assert "url VARCHAR(768) UNIQUE" in ddl and "titre TEXT" in ddl and "AUTO_INCREMENT" in ddl
