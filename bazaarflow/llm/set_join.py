@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarflow.llm.components import components
-from bazaarflow.llm.tasks import row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, row_numbers, utf8, written
 
 #: Bytes of text hashed at a time, index entries held by a task, documents on one side of a comparison.
 AT_ONCE = 2 << 20
@@ -211,6 +211,19 @@ class Bands:
                 yield _entries(shingles, cut, of, self.differ(size + min(highest, self.last(of))))
 
 
+def profile(shingles: np.ndarray) -> bytes:
+    """Numbers of shingles by a hash, at most 255 each, in about a quarter as many places as there are shingles."""
+    bits = max(4, min(13, int(math.log2(max(1, len(shingles)))) - 2))
+    places = (_mixed(shingles ^ _FACTORS[6]) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(places, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def _folded(profiles: list[bytes]) -> np.ndarray:
+    """Profiles as rows with as many places as the shortest has."""
+    width = min(map(len, profiles))
+    return np.array([np.frombuffer(p, np.uint8).reshape(width, -1).sum(1) for p in profiles], np.int32)
+
+
 def step(size: int) -> int:
     return int(math.log(size) * 20)
 
@@ -265,16 +278,17 @@ def similar_components(
     def measured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = row_numbers()
         for part in parts:
-            found = [(len(s), _digest(s) if len(s) else None) for s in _in_parts(utf8(part.column("text")), words)]
+            sets = _in_parts(utf8(part.column("text")), words)
+            found = [(len(s), _digest(s) if len(s) else None, profile(s) if len(s) else None) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"), part.column("same_text"), pa.array([next(numbers) for _ in found], pa.int64()),
-                    pa.array([n for n, _ in found], pa.int64()), pa.array([d for _, d in found], pa.int64()),
+                    pa.array([n for n, _, _ in found], pa.int64()), pa.array([d for _, d, _ in found], pa.int64()), pa.array([p for _, _, p in found], pa.binary()),
                 ],
-                ["doc_id", "same_text", "row", "n_shingles", "digest"],
+                ["doc_id", "same_text", "row", "n_shingles", "digest", "profile"],
             )
 
-    sets = written(rows.mapInArrow(measured, "doc_id long, same_text long, row long, n_shingles long, digest long"), "set-sizes")
+    sets = written(rows.mapInArrow(measured, "doc_id long, same_text long, row long, n_shingles long, digest long, profile binary"), "set-sizes")
     filled = sets.where(F.col("digest").isNotNull())
     # One count for every twentieth of an e-fold in size.
     steps = filled.groupBy(F.floor(F.log("n_shingles") * 20).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -283,11 +297,16 @@ def similar_components(
     shared = _shared_entries(rows, words, above, below, counts)
     pairs = written(shared.where(F.col("digest") != F.col("pivot")).select("digest", "pivot").distinct(), "pairs")
     nodes = pairs.select("digest").union(pairs.select("pivot")).distinct()
+    profiles = written(
+        filled.select("digest", "n_shingles", "profile").join(nodes, "digest", "left_semi").dropDuplicates(["digest"]), "profiles"
+    )
     texts = _texts_of(rows, filled, nodes, words)
 
-    first = _compared(_stars(pairs), texts, words, above, below)
+    first = _compared(_stars(_possible(pairs, profiles, above, below)), texts, words, above, below)
     roots = components(first)
-    second = _compared(_left_over(shared, roots), texts, words, above, below)
+    more = _possible_in(_left_over(shared, roots), profiles, above, below)
+    more = written(more.join(pairs, ["digest", "pivot"], "left_anti"), "more-pairs")
+    second = _compared(_stars(more), texts, words, above, below)
     if not second.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
 
@@ -371,6 +390,63 @@ def _texts_of(rows: DataFrame, filled: DataFrame, nodes: DataFrame, words: int)
     return written(bodies.dropDuplicates(["digest"]), "set-texts")
 
 
+def _can_link(one: int, other: int, apart: np.ndarray | int, above: int, below: int):
+    """Whether sets of these sizes that differ in at least ``apart`` shingles can be similar."""
+    return apart * (below + above) <= (one + other) * (below - above)
+
+
+def _possible(pairs: DataFrame, profiles: DataFrame, above: int, below: int) -> DataFrame:
+    """Pairs whose profiles don't rule out a link: sets differ in no fewer shingles than their profiles do."""
+    one = profiles.select("digest", F.col("n_shingles").alias("n1"), F.col("profile").alias("p1"))
+    other = profiles.select(F.col("digest").alias("pivot"), F.col("n_shingles").alias("n2"), F.col("profile").alias("p2"))
+    # Sizes alone rule out many.
+    fits = (F.least("n1", "n2") * below >= F.greatest("n1", "n2") * above)
+    both = pairs.join(one, "digest").join(other, "pivot").where(fits)
+
+    def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keep = []
+            for n1, n2, p1, p2 in zip(*(part.column(n).to_pylist() for n in ("n1", "n2", "p1", "p2")), strict=True):
+                a, b = _folded([p1, p2])
+                keep.append(bool(_can_link(n1, n2, np.abs(a - b).sum(), above, below)))
+            yield part.select(["digest", "pivot"]).filter(pa.array(keep, pa.bool_()))
+
+    return written(both.select("digest", "pivot", "n1", "n2", "p1", "p2").mapInArrow(possible, "digest long, pivot long"), "possible-pairs")
+
+
+def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int) -> DataFrame:
+    """Pairs of different components in the same cell whose profiles don't rule out a link, smaller digest second."""
+    rows = cells.join(profiles, "digest").repartition("cell").sortWithinPartitions("cell", "digest")
+
+    def found(held: list[tuple]) -> Iterator[tuple[int, int]]:
+        _, digests, sides, roots, sizes, profiles_ = zip(*held, strict=True)
+        matrix, sizes, roots = _folded(profiles_), np.array(sizes), np.array(roots)
+        right = np.array([n for n, side in enumerate(sides) if side & 2])
+        if not len(right):
+            return
+        for n in (n for n, side in enumerate(sides) if side & 1):
+            apart = np.abs(matrix[right] - matrix[n]).sum(1)
+            for other in right[_can_link(sizes[n], sizes[right], apart, above, below) & (roots[right] != roots[n])].tolist():
+                yield max(digests[n], digests[other]), min(digests[n], digests[other])
+
+    def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[tuple[int, int]]:
+            held: list[tuple] = []
+            for part in parts:
+                for row in zip(*(part.column(n).to_pylist() for n in ("cell", "digest", "side", "root", "n_shingles", "profile")), strict=True):
+                    if held and row[0] != held[-1][0]:
+                        yield from found(held)
+                        held = []
+                    held.append(row)
+            if held:
+                yield from found(held)
+
+        return batches({"digest": pa.int64(), "pivot": pa.int64()}, pairs())
+
+    chosen = rows.select("cell", "digest", "side", "root", "n_shingles", "profile")
+    return chosen.mapInArrow(possible, "digest long, pivot long").distinct()
+
+
 def _stars(pairs: DataFrame) -> DataFrame:
     """Comparisons of sets with their pivots; a pivot of many sets is copied to several cells."""
     many = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("cells"))
