@@ -304,9 +304,7 @@ def similar_components(
 
     first = _compared(_stars(_possible(pairs, profiles, above, below)), texts, words, above, below)
     roots = components(first)
-    more = _possible_in(_left_over(shared, roots), profiles, above, below)
-    more = written(more.join(pairs, ["digest", "pivot"], "left_anti"), "more-pairs")
-    second = _compared(_stars(more), texts, words, above, below)
+    second = _compared(_possible_in(_left_over(shared, roots), profiles, above, below), texts, words, above, below)
     if not second.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
 
@@ -415,22 +413,27 @@ def _possible(pairs: DataFrame, profiles: DataFrame, above: int, below: int) ->
 
 
 def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int) -> DataFrame:
-    """Pairs of different components in the same cell whose profiles don't rule out a link, smaller digest second."""
+    """Those rows of the cells for which profiles leave a possible link to another component in the same cell.
+
+    Rows, not pairs, come out, so the result is no larger than the cells are.
+    """
     rows = cells.join(profiles, "digest").repartition("cell").sortWithinPartitions("cell", "digest")
 
-    def found(held: list[tuple]) -> Iterator[tuple[int, int]]:
-        _, digests, sides, roots, sizes, profiles_ = zip(*held, strict=True)
+    def found(held: list[tuple]) -> Iterator[tuple]:
+        _, _, sides, roots, sizes, profiles_ = zip(*held, strict=True)
         matrix, sizes, roots = _folded(profiles_), np.array(sizes), np.array(roots)
-        right = np.array([n for n, side in enumerate(sides) if side & 2])
-        if not len(right):
-            return
+        right = np.array([n for n, side in enumerate(sides) if side & 2], np.int64)
+        stays = np.zeros(len(held), bool)
         for n in (n for n, side in enumerate(sides) if side & 1):
             apart = np.abs(matrix[right] - matrix[n]).sum(1)
-            for other in right[_can_link(sizes[n], sizes[right], apart, above, below) & (roots[right] != roots[n])].tolist():
-                yield max(digests[n], digests[other]), min(digests[n], digests[other])
+            others = right[_can_link(sizes[n], sizes[right], apart, above, below) & (roots[right] != roots[n])]
+            stays[others] = True
+            stays[n] |= len(others) > 0
+        for n in np.flatnonzero(stays).tolist():
+            yield held[n][:4]
 
     def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs() -> Iterator[tuple[int, int]]:
+        def stay() -> Iterator[tuple]:
             held: list[tuple] = []
             for part in parts:
                 for row in zip(*(part.column(n).to_pylist() for n in ("cell", "digest", "side", "root", "n_shingles", "profile")), strict=True):
@@ -441,10 +444,10 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
             if held:
                 yield from found(held)
 
-        return batches({"digest": pa.int64(), "pivot": pa.int64()}, pairs())
+        return batches({"cell": pa.int64(), "digest": pa.int64(), "side": pa.int32(), "root": pa.int64()}, stay())
 
     chosen = rows.select("cell", "digest", "side", "root", "n_shingles", "profile")
-    return chosen.mapInArrow(possible, "digest long, pivot long").distinct()
+    return written(chosen.mapInArrow(possible, "cell long, digest long, side int, root long"), "possible-cells")
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
