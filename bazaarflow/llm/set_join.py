@@ -366,7 +366,7 @@ def _shared_entries(rows: DataFrame, words: int, above: int, below: int, counts:
     window = Window.partitionBy("entry", "near")
     least, most = F.min("digest").over(window), F.max("digest").over(window)
     met = index.select("entry", "digest", "near", least.alias("least"), most.alias("most"))
-    # Rows that are tied stay, and open ones that met another or that others are tied to.
+    # Rows that are tied stay, and open ones that met another. An open one that others are tied to is their pivot.
     tied = met.where(F.col("near").isNotNull() | (F.col("least") != F.col("most")))
     return written(tied.select("entry", "digest", F.coalesce("near", "least").alias("pivot")), "shared-entries")
 
@@ -463,7 +463,9 @@ def _stars(pairs: DataFrame) -> DataFrame:
 
 def _left_over(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """Comparisons within entries whose sets lie in several components, all sets with all others in blocks."""
-    members = shared.select("entry", "digest").distinct().join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    # A pivot is a member too; its own row is not there where it met no other task's.
+    named = shared.select("entry", "digest").union(shared.select("entry", "pivot")).distinct()
+    members = named.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     members = members.select("entry", "digest", F.coalesce("root", "digest").alias("root"))
     groups = members.groupBy("entry").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"),

@@ -77,6 +77,26 @@ def test_small_blocks_and_flushes_lose_nothing(spark, monkeypatch):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found], key=repr) == brute(rows, 3, 90, 100)
 
 
+@pytest.mark.parametrize(
+    ("words", "above", "texts"),
+    [  # the first text has the smallest digest; the other two are similar and share only entries that it has too
+        (1, 60, ["w390 w235 w56 w320 w331 w391 w119 w232 w171 w141 w268", "w390 w235 w56 w320 w331 w391 w85 w232", "w390 w235 w56 w320 w331 w391 w119 w232 w373"]),
+        (5, 80, ["w330 w304 w341 w223 w199 w121 w265 w4 w334", "w330 w304 w341 w223 w199 w121 w265 w4 w161", "w330 w304 w341 w223 w199 w121 w265 w4"]),
+        (2, 50, ["w399 w324 w207 w335 w91 w399 w120 w264 w202 w144", "w172 w324 w207 w335 w91 w399 w120 w264 w355", "w130 w324 w207 w335 w91 w399 w120 w152"]),
+        (3, 90, [f"{a} w14 w245 w298 w368 w66 w396 w392 w286 w200 w251 w395 w119 w260 w192 w31 w210 w307 w43 w127 w344 w20 w232 w42 w150 {b}"
+                 for a, b in (("w21", "w312"), ("w194", "w312"), ("w194", "w46"))]),
+    ],
+)
+def test_entries_of_three_sets(spark, words, above, texts):
+    digests = [set_join._digest(s) for s in set_join.shingle_sets([t.encode() for t in texts], words)]
+    assert digests[0] == min(digests)
+    for ids in ((3, 1, 2), (1, 2, 3)):
+        rows = list(zip(ids, texts, strict=True))
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        found = set_join.similar_components(docs, words=words, above=above).collect()
+        assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found], key=repr) == brute(rows, words, above, 100)
+
+
 def test_awkward(spark):
     docs = awkward(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
