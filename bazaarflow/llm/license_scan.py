@@ -1,13 +1,20 @@
 """Licences of files: notices compared with templates, then inherited along paths.
 
 Every line that could be a licence notice becomes a sparse TF-IDF vector; its
-cosine with the templates gives a file's own licence. Directories take the
+cosine with the templates gives a file's own licence. So do whole files and windows of lines,
+sentences and words around each notice, which are compared with headers and
+full texts too; SPDX lines name theirs. Directories take the
 licence of their licence files, and files without one take that of the nearest
 directory above them. Column expressions and joins only.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +34,34 @@ TEMPLATES = {
     "Proprietary": "All rights reserved",
 }
 NOTICE = r"(?i)licen[cs]|\bSPDX\b|all rights reserved|redistribution and use|mozilla public"
+# Standard headers of several lines; full texts lie in files named by their identifiers.
+_GNU = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the "
+    "Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+)
+_NO_WARRANTY = (
+    " This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+    "FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License for more details."
+)
+_GNU_KINDS = {"GPL-2.0": ("program", "", "2"), "GPL-3.0": ("program", "", "3"), "LGPL-2.1": ("library", "Lesser ", "2.1"), "LGPL-3.0": ("library", "Lesser ", "3"), "AGPL-3.0": ("program", "Affero ", "3")}
+HEADERS = [
+    *[(name, text.format(*of)) for name, of in _GNU_KINDS.items() for text in (_GNU, _GNU + _NO_WARRANTY)],
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+     "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+     'distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
+     "See the License for the specific language governing permissions and limitations under the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+     "You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+]
+TEXTS = Path(__file__).parent / "licence_texts"
+#: What passages are sought around; lines before and after in a window, words before and after in one; the name that an SPDX line gives.
+PASSAGE = NOTICE + r"|permission is hereby granted|permission to use, copy"
+LINES = ((0, 1), (1, 0), (1, 1), (0, 2), (2, 2), (1, 4), (0, 6), (3, 7), (0, 10), (0, 14), (4, 14), (2, 20), (0, 24))
+WORDS = ((3, 3), (7, 0), (0, 8), (5, 7), (8, 3))
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*(\(?[A-Za-z0-9.+-]+\)?(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[A-Za-z0-9.+-]+\)?)*)"
+#: Characters of a window above which no header or one-line notice is like it; whole files are compared at any length.
+WINDOW = 8_000
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice)(?:\.\w+)?$"
 #: Cosine from which a notice is that of a template; deepest level of directories that pass a licence on.
 LIKE = 0.75
@@ -79,6 +114,63 @@ def _templates(spark: SparkSession) -> DataFrame:
     return rows.select("license", F.explode(_terms(F.col("text"))).alias("term")).groupBy("license", "term").agg(F.count(F.lit(1)).alias("t_tf"))
 
 
+def _references() -> list[tuple[str, str, float, float]]:
+    """Licence, template, term and its weight over the template's length; the weight of a term falls with the templates that have it."""
+    texts = [*TEMPLATES.items(), *HEADERS, *((f.stem, f.read_text(errors="replace")) for f in sorted(TEXTS.glob("*.txt")))]
+    counts = [Counter(t for t in re.split(r"[^a-z0-9.-]+|\.(?=\s|$)", text.lower()) if t) for _, text in texts]
+    often = Counter(t for c in counts for t in c)
+    rows = []
+    for number, ((name, _), count) in enumerate(zip(texts, counts, strict=True)):
+        weights = {t: n * _rarity(len(texts), often[t]) for t, n in count.items()}
+        length = math.sqrt(sum(w * w for w in weights.values()))
+        rows += [(name, number, t, w / length, _rarity(len(texts), often[t])) for t, w in weights.items()]
+    return rows
+
+
+def _rarity(total: int, often: int) -> float:
+    return math.log((total + 1) / (often + 1)) + 1
+
+
+def passages(files: DataFrame, text: str = "text", path: str = "path") -> DataFrame:
+    """Whole files with a notice and windows around each notice, with the licence each is most like: path, license, similarity, whole.
+
+    Marks of comments at the ends of lines don't count. SPDX expressions are taken as they are, with a
+    similarity of 1 and ``whole``. Equal passages are compared once.
+    """
+    some = files.where(F.col(text).rlike(PASSAGE)).select(F.col(path).alias("path"), F.col(text).alias("text"))
+    bare = some.withColumn("lines", F.split(F.regexp_replace("text", r"(?m)^[\s#*/;!%>-]+|[\s*/>-]+$", "\n"), r"\R+", -1))
+    lines = F.col("lines")
+    bare = bare.withColumn("at", F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(PASSAGE), i)), lambda i: i.isNotNull()))
+    bare = bare.withColumn("joined", F.array_join("lines", " "))
+    near = F.flatten(F.transform("at", lambda i: F.array(*[
+        F.array_join(F.slice(lines, F.greatest(i - a, F.lit(0)) + 1, F.lit(a + b + 1)), " ") for a, b in LINES
+    ])))
+    sentences = F.filter(F.split("joined", r"(?<=[.!?])\s+", -1), lambda x: x.rlike(PASSAGE))
+    words = F.concat(*[F.regexp_extract_all("joined", F.lit(r"(?:(?<!\S)\S++\s){0,%d}(?<!\S)[^\s]*?(?i:licen[cs]|reserved|public)\S*+(?:\s\S++){0,%d}" % w), F.lit(0)) for w in WORDS])
+    window = lambda c: F.transform(F.filter(F.array_distinct(c), lambda x: F.length(x) <= WINDOW), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("text")))
+    units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("joined").alias("text"))), window(F.concat(near, sentences, words)))
+    found = written(bare.select("path", F.explode(units).alias("u")).select("path", "u.whole", "u.text", F.md5("u.text").alias("unit")), "passages")
+
+    rows = _references()
+    total = len({r[1] for r in rows})
+    schema = "license string, template int, term string, t double, idf double"
+    terms = files.sparkSession.createDataFrame(rows, schema).groupBy("term").agg(
+        F.first("idf").alias("idf"), F.collect_list(F.struct("license", "template", "t")).alias("ts")
+    )  # a few thousand terms
+    counted = found.select("unit", "text").dropDuplicates(["unit"]).select("unit", F.explode(_terms(F.col("text"))).alias("term"))
+    counted = counted.groupBy("unit", "term").agg(F.count(F.lit(1)).alias("tf"))
+    weighted = counted.join(F.broadcast(terms), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(_rarity(total, 0))))
+    # The length of a passage counts all its terms, also those of no template.
+    length = weighted.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    dots = weighted.where(F.col("ts").isNotNull()).select("unit", "w", F.explode("ts").alias("t"))
+    dots = dots.groupBy("unit", "t.template", "t.license").agg(F.sum(F.col("w") * F.col("t.t")).alias("dot"))
+    like = F.round(F.col("dot") / F.col("length"), 6)
+    best = dots.join(length, "unit").groupBy("unit").agg(F.min(F.struct((-like).alias("less"), "license")).alias("best")).where(-F.col("best.less") >= LIKE)
+    chosen = found.select("path", "whole", "unit").join(best, "unit").select("path", "best.license", (-F.col("best.less")).alias("similarity"), "whole")
+    named = some.select("path", F.explode(F.regexp_extract_all("text", F.lit(SPDX), F.lit(1))).alias("license"))
+    return chosen.unionByName(named.select("path", "license", F.lit(1.0).alias("similarity"), F.lit(True).alias("whole"))).distinct()
+
+
 def folder(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
@@ -89,19 +181,20 @@ def licences(files: DataFrame, text: str = "text", path: str = "path", licence_f
     ``origin`` is ``notice`` for a notice in the file itself, ``folder`` for one
     inherited from the nearest folder above with a licence file, else null. Paths are separated
     by slashes; a licence file is known by its name, or by ``licence_file``. A file with several
-    notices has the most similar one, then the first name. Repeated paths are
+    notices has what an SPDX line or its whole text says, else the most similar one, then the first name;
+    that all rights are reserved counts only where nothing else is said. Repeated paths are
     one file; files with a null path or text have no notice, and a null path is one row. Other
     columns are ignored; an empty table gives an empty result.
     """
     wanted = F.col(path).rlike(LICENCE_FILE) if licence_file is None else licence_file
     every = files.select(F.col(path).alias("path"), F.col(text).cast("string").alias("text"), F.coalesce(wanted, F.lit(False)).alias("whole"))
-    found = notices(every).groupBy("path").agg(
-        F.max(F.struct("similarity", _reversed_name(F.col("license")).alias("order"), "license")).alias("own")
-    )
+    both = notices(every).select("path", "license", "similarity", F.lit(False).alias("whole")).unionByName(passages(every))
+    rank = F.when(F.col("license") == "Proprietary", 2).when(F.col("whole"), 0).otherwise(1)
+    found = both.groupBy("path").agg(F.min(F.struct(rank.alias("rank"), (-F.col("similarity")).alias("less"), "license", "similarity")).alias("own"))
     paths = every.groupBy("path").agg(F.max("whole").alias("whole"))
     paths = paths.withColumn("folder", folder(F.col("path")))
     named = paths.join(found, "path", "left")
-    given = named.where(F.col("whole") & F.col("own").isNotNull()).groupBy("folder").agg(F.max("own").alias("given"))
+    given = named.where(F.col("whole") & F.col("own").isNotNull()).groupBy("folder").agg(F.min("own").alias("given"))
     # Folders, not files, look for what lies above them: a hot folder asks once.
     above = F.transform(
         F.sequence(F.lit(1), F.least(F.size(F.split("folder", "/", -1)), F.lit(DEPTH))),

@@ -51,3 +51,22 @@ def test_notices_and_folders(spark):
     for path in ("z/q.py", "root.py", "z/licence/w.py"):
         assert found[path] == (None, None, None)
     assert scan.licences(files.limit(0)).count() == 0
+
+
+def test_headers_licence_files_and_identifiers(spark):
+    text = lambda name: (scan.TEXTS / f"{name}.txt").read_text()
+    gpl = "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as\n * published by the Free Software Foundation, either\n * version {} of the License, or (at your option) any later version.\n */\nint main;\n"
+    wanted = {
+        "m/LICENSE": ("Copyright (c) 2019 Some One\n\n" + text("MIT").split("\n", 2)[2], "MIT"),
+        "b/LICENSE": ("Copyright (c) 2019, Some One. All rights reserved.\n\n" + text("BSD-3-Clause"), "BSD-3-Clause"),
+        "b2/LICENSE": ("Copyright (c) 2019, Some One. All rights reserved.\n\n" + text("BSD-2-Clause"), "BSD-2-Clause"),
+        "g2/COPYING": (text("GPL-2.0"), "GPL-2.0"), "g3/COPYING": (text("GPL-3.0"), "GPL-3.0"), "a/LICENSE": (text("Apache-2.0"), "Apache-2.0"),
+        "h2.c": (gpl.format(2), "GPL-2.0"), "h3.c": (gpl.format(3), "GPL-3.0"),
+        "s.py": ("# SPDX-License-Identifier: Apache-2.0\ncode", "Apache-2.0"), "o.py": ("// SPDX-License-Identifier: MIT OR Apache-2.0\ncode", "MIT OR Apache-2.0"),
+        "long.md": ("some words on other things and more of them " * 30 + "which is released under the MIT License and so on " + "with further words about that " * 30, "MIT"),
+        "wrapped.md": ("a text\nthis work is licensed under the GNU\nGeneral Public License,\nversion 3 and no other\nmore text\n", "GPL-3.0"),
+        "none.md": ("we have a licence plate somewhere in this text about cars\nand a driving license for them\n" * 3, None),
+    }
+    files = spark.createDataFrame([(p, t) for p, (t, _) in wanted.items()], "path string, text string")
+    found = {r.path: r.license for r in scan.licences(files).collect()}
+    assert found == {p: name for p, (_, name) in wanted.items()}
