@@ -63,9 +63,8 @@ SPDX = r"(?i)SPDX-License-Identifier:[ \t]*(\(?[A-Za-z0-9.+-]+\)?(?:[ \t]+(?:AND
 #: Characters of a window above which no header or one-line notice is like it; whole files are compared at any length.
 WINDOW = 8_000
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice)(?:\.\w+)?$"
-#: Cosine from which a notice is that of a template; deepest level of directories that pass a licence on.
+#: Cosine from which a notice is that of a template.
 LIKE = 0.75
-DEPTH = 32
 
 
 def _terms(text: Column) -> Column:
@@ -172,7 +171,8 @@ def passages(files: DataFrame, text: str = "text", path: str = "path") -> DataFr
 
 
 def folder(path: Column) -> Column:
-    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    """The folder of a path: ``/`` at the top of absolute paths, empty at the top of relative ones."""
+    return F.when(path.rlike("^/[^/]*$"), "/").otherwise(F.regexp_extract(path, r"^(.*)/[^/]*$", 1))
 
 
 def licences(files: DataFrame, text: str = "text", path: str = "path", licence_file: Column | None = None) -> DataFrame:
@@ -196,14 +196,19 @@ def licences(files: DataFrame, text: str = "text", path: str = "path", licence_f
     named = paths.join(found, "path", "left")
     given = named.where(F.col("whole") & F.col("own").isNotNull()).groupBy("folder").agg(F.min("own").alias("given"))
     # Folders, not files, look for what lies above them: a hot folder asks once.
-    above = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(F.split("folder", "/", -1)), F.lit(DEPTH))),
-        lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(F.split("folder", "/", -1), 1, n), "/").alias("above")),
-    )
-    folders = paths.select("folder").where(F.col("folder").isNotNull()).distinct().withColumn("a", F.explode(above)).select("folder", "a.depth", "a.above")
+    parts = F.split("folder", "/", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("above")))
+    below = F.filter(above, lambda a: ~a["above"].isin("", "/"))
+    every_folder = paths.select("folder").where(F.col("folder").isNotNull()).distinct()
+    folders = every_folder.withColumn("a", F.explode(below)).select("folder", "a.depth", "a.above")
+    passed = given.select(F.col("folder").alias("above"), "given")
+    # The two tops lie above all folders: at most two rows, sent to every task.
+    tops = passed.where(F.col("above").isin("", "/"))
+    top = F.when(F.col("folder").startswith("/"), "/").otherwise("")
+    from_top = every_folder.select("folder", F.lit(0).alias("depth"), top.alias("above")).join(F.broadcast(tops), "above")
     nearest = (
-        folders.join(given.select(F.col("folder").alias("above"), "given"), "above")
-        .groupBy("folder").agg(F.max(F.struct("depth", "above", "given")).alias("near"))
+        folders.join(passed.where(~F.col("above").isin("", "/")), "above").unionByName(from_top)
+        .groupBy("folder").agg(F.max_by(F.struct("above", "given"), "depth").alias("near"))
     )
     joined = named.join(nearest, "folder", "left")
     own = F.col("own").isNotNull()

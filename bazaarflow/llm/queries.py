@@ -110,9 +110,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents lie in folders by source and number; a short one with a notice is its folder's licence file."""
+    """Documents lie in folders by source and number; a short one with a notice is the licence file of its folder, some of the one above or of the source."""
     docs = table(spark, sf_dir, "documents")
-    name = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.expr("doc_id div 10000"), F.expr("doc_id div 100"), "doc_id")
+    # Short documents lie in folders of three levels.
+    level = F.when(F.length("text") < 400, F.pmod("doc_id", F.lit(3)))
+    name = F.concat_ws(
+        "/", F.coalesce("source", F.lit("none")), F.when(level.isNull() | (level > 0), F.expr("doc_id div 10000")),
+        F.when(level.isNull() | (level > 1), F.expr("doc_id div 100")), "doc_id",
+    )
     files = docs.select("doc_id", "text", name.alias("path"))
     found = license_scan.licences(files, licence_file=F.length("text") < 400)
     return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))

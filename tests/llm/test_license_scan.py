@@ -70,3 +70,26 @@ def test_headers_licence_files_and_identifiers(spark):
     files = spark.createDataFrame([(p, t) for p, (t, _) in wanted.items()], "path string, text string")
     found = {r.path: r.license for r in scan.licences(files).collect()}
     assert found == {p: name for p, (_, name) in wanted.items()}
+
+
+def test_all_folders_above_pass_on(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    deep = "/".join(f"d{n}" for n in range(50))
+    rows = [("LICENSE", mit), ("src/x.py", "x"), ("y.py", "y"), (f"{deep}/LICENSE", gpl), (f"{deep}/e/f/z.py", "z"), ("d0/d1/w.py", "w"), ("/abs/x.py", "x"), ("/top.py", "")]
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: (r.license, r.passed_on_by) for r in scan.licences(files).collect()}
+    assert found["src/x.py"] == found["y.py"] == found["d0/d1/w.py"] == ("MIT", "")
+    assert found[f"{deep}/e/f/z.py"] == ("GPL-3.0", deep)
+    assert found["/abs/x.py"] == found["/top.py"] == (None, None)
+    more = files.union(spark.createDataFrame([("/LICENSE", gpl)], files.schema))
+    found = {r.path: (r.license, r.passed_on_by) for r in scan.licences(more).collect()}
+    assert found["/abs/x.py"] == found["/top.py"] == ("GPL-3.0", "/") and found["src/x.py"] == ("MIT", "")
+
+
+def test_the_query_passes_licences_on_from_upper_folders(spark, tmp_path):
+    from bazaarflow.llm.queries import op10_license_scan
+
+    rows = [(3, "Released under the MIT License.", "s"), (20_001, "word " * 100, "s"), (20_002, "word " * 100, "t")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: (r.license, r.origin, r.passed_on_by) for r in op10_license_scan(spark, str(tmp_path)).collect()}
+    assert found == {3: ("MIT", "notice", None), 20_001: ("MIT", "folder", "s"), 20_002: (None, None, None)}
