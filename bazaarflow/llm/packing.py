@@ -3,7 +3,8 @@
 Sum-of-squares packing: a piece goes where the sum, over all residual gaps, of
 the squared number of open bins with that gap becomes smallest. Pieces are
 packed in shards; what lies in bins that a shard leaves with room is packed
-again over fewer shards, until one shard is left.
+again over as few shards as hold it, until one shard is left or a level saves less
+than a bin a shard. No shard gets many more pieces than ``SHARD``.
 """
 
 from __future__ import annotations
@@ -76,23 +77,23 @@ def pack(pieces: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFra
     waiting = written(pieces, "pieces")
     schema = f"{waiting._jdf.schema().toDDL()}, sequence_id long, offset long, open boolean"
     done = []
-    level, before = 0, None
+    level, open_bins = 0, None
     while True:
-        count = waiting.count()
-        # The number of shards falls with every level, also where nothing fits together.
-        shards = max(1, min(-(-count // shard), before // 2 if before else count))
+        shards = max(1, -(-waiting.count() // shard))
 
         def packed(parts: Iterator[pa.RecordBatch], level=level, last=shards == 1) -> Iterator[pa.RecordBatch]:
             return _packed(parts, length, level, last)
 
-        # Spread over shards by row; the numbers say nothing about lengths.
-        dealt = waiting.repartition(shards, F.xxhash64("row", "piece")) if shards > 1 else waiting.coalesce(1)
+        # Spread over shards by row, anew at every level; the numbers say nothing about lengths.
+        dealt = waiting.repartition(shards, F.xxhash64("row", "piece", F.lit(level))) if shards > 1 else waiting.coalesce(1)
         placed = written(dealt.mapInArrow(packed, schema), f"packed-{level}")
+        bins = placed.agg(F.count_distinct("sequence_id").alias("all"), F.count_distinct(F.when(F.col("open"), F.col("sequence_id"))).alias("open")).first()
+        # Another level is of use only where this one saved bins, one in every shard.
+        if shards == 1 or not bins["open"] or (open_bins is not None and bins["all"] + shards > open_bins):
+            return reduce(DataFrame.unionByName, [*done, placed.drop("open")])
         done.append(placed.where(~F.col("open")).drop("open"))
-        if shards == 1:
-            return reduce(DataFrame.unionByName, done)
         waiting = placed.where(F.col("open")).select(waiting.columns)
-        level, before = level + 1, shards
+        level, open_bins = level + 1, bins["open"]
 
 
 def _packed(parts: Iterator[pa.RecordBatch], length: int, level: int, last: bool) -> Iterator[pa.RecordBatch]:

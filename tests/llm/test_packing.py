@@ -85,3 +85,18 @@ def test_tight_is_near_the_bound():
     bins, offsets = tight(sizes, 4096)
     assert len(set(bins)) <= np.ceil(sizes.sum() / 4096) * 1.01
     assert bins.max() + 1 == len(set(bins))
+
+
+def test_no_task_gets_all_pieces(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from bazaarflow.llm import packing
+
+    frames = []
+    monkeypatch.setattr(packing, "written", lambda df, purpose, write=packing.written: frames.append(write(df, purpose)) or frames[-1])
+    # No two pieces fit together, so every bin stays open.
+    pieces = spark.range(4000).select(F.col("id").alias("row"), F.lit(0).alias("piece"), F.lit(2500).cast("long").alias("length"))
+    rows = pack(pieces, shard=500).collect()
+    assert checked(rows, 4096) == len(rows) == 4000
+    shards = [f.groupBy(F.shiftright("sequence_id", 40)).count().agg(F.max("count")).first()[0] for f in frames[1:]]
+    assert len(shards) <= 3 and max(shards) < 1000
