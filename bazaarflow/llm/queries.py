@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarflow.llm import chat, fingerprints, language, license_scan, packing, pii, set_join, toxicity
+from bazaarflow.llm import chat, filter_audit, fingerprints, language, license_scan, merkle, packing, pii, set_join, toxicity
 from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
@@ -121,3 +121,93 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = docs.select("doc_id", "text", name.alias("path"))
     found = license_scan.licences(files, licence_file=F.length("text") < 400)
     return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long"))
+
+
+LEAF = "sha256(" + " || ".join(
+    f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{0}")
+) + ")"
+#: CRC-32 of the decimal id, by its reflected polynomial.
+CRC = (
+    "xor(4294967295, list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ord(x) as bigint)), "
+    "lambda c, b: list_reduce(range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), 4294967295))"
+)
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of all levels with the siblings before and after, from leaves (grp, rank, n, digest)."""
+    run = "order by rank rows between {} and {}"
+    before, after = run.format("unbounded preceding", "1 preceding"), run.format("1 following", "unbounded following")
+    return f"""{name}(level, grp, rank, n, digest) as (
+      select 0, grp, rank, n, digest from ({leaves})
+      union all select level + 1, grp, rank // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by rank))
+      from {name} where n > 1 group by level, grp, rank // 3, n),
+    {name}_runs as (select *, coalesce(string_agg(digest, '') over (partition by level, grp, rank // 3 {before}), '') as before,
+      coalesce(string_agg(digest, '') over (partition by level, grp, rank // 3 {after}), '') as after from {name} where n > 1)"""
+
+
+def _climb(name: str, start: str, runs: str) -> str:
+    """Every start (doc_id, grp, rank, folded, siblings) taken up level by level."""
+    return f"""{name}(doc_id, level, grp, rank, folded, siblings) as (
+      select doc_id, 0, grp, rank, folded, siblings from ({start})
+      union all select c.doc_id, c.level + 1, c.grp, c.rank // 3, sha256(r.before || c.folded || r.after), c.siblings || r.before || r.after
+      from {name} c join {runs} r on r.level = c.level and r.grp = c.grp and r.rank = c.rank),
+    {name}_top as (select doc_id, grp, arg_max(folded, level) as folded, arg_max(siblings, level) as siblings from {name} group by doc_id, grp)"""
+
+
+@registered(
+    f"""with recursive leaves as (select doc_id, coalesce('1' || source, '0') as grp, {LEAF.format("text")} as leaf,
+      case when {CRC} % 2 = 0 then {LEAF.format("replace(text, chr(10), '')")} else {LEAF.format("text")} end as given from documents),
+    ranked as (select *, row_number() over (partition by grp order by doc_id, leaf) - 1 as rank, count(*) over (partition by grp) as n from leaves),
+    {_tree("tree", "select grp, rank, n, leaf as digest from ranked")},
+    subroots as (select grp, digest, row_number() over (order by grp) - 1 as rank, count(*) over () as n from tree where n = 1),
+    {_tree("upper", "select '' as grp, rank, n, digest from subroots")},
+    {_climb("climb", "select doc_id, grp, rank, given as folded, '' as siblings from ranked", "tree_runs")},
+    {_climb("rest", "select c.doc_id, '' as grp, s.rank, c.folded, c.siblings from climb_top c join subroots s using (grp)", "upper_runs")}
+    select d.doc_id, d.leaf, s.digest as subroot, u.digest as root, sha256(t.siblings) as proof_sha256, t.folded as folded_root, t.folded = u.digest as verified
+    from ranked d join subroots s using (grp) join rest_top t using (doc_id) cross join (select digest from upper where n = 1) u"""
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    # Tampering deletes line ends; a null id counts as an empty text. Most texts stay as they are.
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    plain = F.replace("text", F.lit("\n"), F.lit(""))
+    leaves = docs.select(
+        "doc_id", "source", merkle.leaf_of(*values, F.col("text")).alias("leaf"),
+        F.when(tampered & F.col("text").contains("\n"), merkle.leaf_of(*values, plain)).alias("given"),
+    )
+    found = merkle.manifest(leaves, "source", ["doc_id"], "leaf")
+    again = found.withColumn("folded_root", merkle.folded(F.col("path"), F.coalesce("given", "leaf")))
+    return again.select(
+        "doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@registered(
+    """with words as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as ws from documents),
+    marked as (select doc_id, part,
+        case when len(ws) < 200 then 'A' else '' end || case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 'B' else '' end
+        || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) then 'C' else '' end
+        || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+        || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as fails from words),
+    told as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by doc_id),
+    combined as (select part, fails, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+        from marked left join told using (doc_id) group by all),
+    letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+    orders as (select a.l || b.l || c.l || d.l || e.l as filter_order from letters a, letters b, letters c, letters d, letters e
+        where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+    steps as (select filter_order, step, filter_order[step] as f, filter_order[1:step - 1] as earlier from orders, range(1, 6) s(step)),
+    each as (select *, contains(fails, f) as failing, regexp_matches(fails, '[' || earlier || '-]') as gone from combined, steps),
+    counts as (select part, filter_order, cast(step as int) as step, f,
+        coalesce(sum(n) filter (not failing and not gone), 0) as kept, coalesce(sum(n) filter (failing and not gone), 0) as removed,
+        coalesce(sum(n) filter (failing and gone), 0) as redundant, coalesce(sum(n) filter (fails = f), 0) as unique_fails,
+        coalesce(sum(n) filter (failing and not gone and good), 0) as good_lost, coalesce(sum(n) filter (failing and not gone and toxic), 0) as toxic_lost
+        from each group by all)
+    select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+        good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, f))::bigint as shapley from counts"""
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = filter_audit.failed_filters(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.labelled(failed, table(spark, sf_dir, "labels")))
