@@ -13,8 +13,7 @@ from bazaarflow.operators.flatten import flatten_sections
 from bazaarflow.operators.html_items import extract_items
 from bazaarflow.operators.parse import parse_messages, to_messages
 from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS, Feed, Site
-from bazaarflow.streaming.insert import start_insert, storable
-from bazaarflow.streaming.targets import JdbcTarget, LakeTarget
+from bazaarflow.streaming.insert import Target, start_insert, storable
 
 
 def payload_messages(payloads: DataFrame, site: Site, **options) -> DataFrame:
@@ -37,7 +36,7 @@ def merged_feeds(raw_a: DataFrame, raw_b: DataFrame) -> DataFrame:
 def store_feed(
     raw: DataFrame,
     feed: Feed,
-    target: LakeTarget | JdbcTarget,
+    target: Target,
     checkpoint: str,
     every: str | None = "10 seconds",
 ) -> StreamingQuery:
@@ -48,7 +47,7 @@ def store_feed(
 def store_feed_by_state(
     raw: DataFrame,
     feed: Feed,
-    target: LakeTarget | JdbcTarget,
+    target: Target,
     checkpoint: str,
     every: str | None = "10 seconds",
     salts: int = 1,
@@ -71,7 +70,7 @@ def store_feed_by_state(
 def store_merged_feeds(
     raw_a: DataFrame,
     raw_b: DataFrame,
-    target: LakeTarget | JdbcTarget,
+    target: Target,
     checkpoint: str,
     every: str | None = "10 seconds",
 ) -> StreamingQuery:
@@ -87,7 +86,7 @@ def unstorable(raw: DataFrame, feed: Feed) -> DataFrame:
 def set_aside_feed(
     raw: DataFrame,
     feed: Feed,
-    target: LakeTarget | JdbcTarget,
+    target: Target,
     checkpoint: str,
     every: str | None = "10 seconds",
 ) -> StreamingQuery:

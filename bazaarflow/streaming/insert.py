@@ -14,8 +14,11 @@ from bazaarflow.operators.counts import category_counts
 from bazaarflow.operators.dedup import first_per_key
 from bazaarflow.schema import KEY, LISTING_FIELDS, MAX_LENGTHS, TIME
 from bazaarflow.sources.scratch import working_folder
+from bazaarflow.streaming.committed import ATTEMPTS, CommittedTarget, Lost, Transaction
 from bazaarflow.streaming.targets import JdbcTarget, LakeTarget
 
+Target = LakeTarget | JdbcTarget | CommittedTarget
+
 # Largest total of batch keys (bytes, with overhead) sent to every executor.
 SMALL_KEYS = 32 * 1024 * 1024
 _KEY_OVERHEAD = 32
@@ -28,7 +31,7 @@ def storable(key: str = KEY):
 
 def insert_new(
     batch: DataFrame,
-    target: LakeTarget | JdbcTarget,
+    target: Target,
     writer: str | None = None,
     batch_id: int = 0,
     against: str = "all",
@@ -45,8 +48,28 @@ def insert_new(
     A micro-batch is held in memory for the steps below. ``staged`` is for
     loads too large for that: the input is scanned again where needed, and the
     new rows go to a table in the working folder before they are numbered.
+
+    A ``CommittedTarget`` may have other writers at the same time, in any driver:
+    a batch that another one overtook is compared anew with what that one stored.
     """
     writer = writer or uuid.uuid4().hex
+    if not isinstance(target, CommittedTarget):
+        return _insert(batch, target, writer, batch_id, against, staged, key)
+    for _ in range(ATTEMPTS):
+        attempt = target.begin(batch.sparkSession)
+        report = attempt.done(writer, batch_id)
+        if report:
+            return report
+        try:
+            return _insert(batch, attempt, writer, batch_id, against, staged, key)
+        except Lost:
+            continue
+    raise Lost(target.path)
+
+
+def _insert(
+    batch: DataFrame, target: LakeTarget | JdbcTarget | Transaction, writer: str, batch_id: int, against: str, staged: bool, key: str
+) -> Row:
     spark = batch.sparkSession
     fits = storable(key)
     if not staged:
@@ -141,7 +164,7 @@ def _claim(path: str, name: str) -> None:
 
 def start_insert(
     listings: DataFrame,
-    target: LakeTarget | JdbcTarget,
+    target: Target,
     name: str,
     checkpoint: str,
     every: str | None = "10 seconds",
@@ -153,9 +176,10 @@ def start_insert(
     its batches and a new checkpoint never overwrites those of an old one. A
     failing batch stops the query and is repeated by the next start.
     ``against`` is as in ``insert_new``; streams that passed ``stream_dedup``
-    need "others" at most. A second query that inserts into the same folder
+    need "others" at most. A second query that inserts into the folder of a ``LakeTarget``
     is refused while the first one lives: feeds that share keys go through
-    ``store_merged_feeds``. Queries of other drivers are not seen.
+    ``store_merged_feeds``. Queries of other drivers are not seen there; a
+    ``CommittedTarget`` takes any number of them.
     """
     if against != "none" and isinstance(target, LakeTarget):
         _claim(target.path, name)
