@@ -160,7 +160,7 @@ def byte_pieces(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id
         columns["ids"] = pa.binary()
 
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = kept(("byte_pieces", ranks, pattern), lambda: BytePieces(shipped.value, pattern))
+        pieces = kept("byte_pieces", (ranks, pattern), lambda: BytePieces(shipped.value, pattern))
 
         def rows() -> Iterator[tuple]:
             for part in parts:

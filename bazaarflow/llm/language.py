@@ -8,8 +8,11 @@ own, wins. Texts are parsed in blocks, many at a time, one character per step.
 
 from __future__ import annotations
 
+import random
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -17,15 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bazaarflow.llm.tasks import kept
+from bazaarflow.llm.tasks import kept, written
 
-#: Bounds of what is learned: languages, characters for each automaton and for its calibration, documents per language.
-LANGUAGES = 64
+#: Bounds of what is learned: characters for each automaton and for its calibration, documents per
+#: language, and characters of all automata together, which many languages share evenly.
 LEARNED = 20_000
 CALIBRATED = 10_000
 DOCUMENTS = 200
-#: Different letters that count; all others are one more that no automaton has.
-LETTERS = 250
+TOGETHER = 1_000_000
+LEAST = 500
 #: Characters of a block. A phrase ends at a block's end.
 BLOCK = 512
 UNDETERMINED = "und"
@@ -33,15 +36,16 @@ UNDETERMINED = "und"
 
 @dataclass
 class Parser:
-    """What is learned of all languages. Tables are made where they are used, from the symbols."""
+    """What is learned of all languages. Automata are made where they are used, from the symbols."""
 
     languages: list[str]
     letters: np.ndarray  # sorted code points; place + 1 is the symbol, 0 the blank, len + 1 any other letter
     learned: list[np.ndarray]  # symbols of each language's text
     usual: np.ndarray  # phrases a character that each language needs for text of its own
 
-    def __post_init__(self):
-        self.tables = [automaton(symbols.tolist(), len(self.letters) + 2) for symbols in self.learned]
+    @cached_property
+    def automata(self) -> list[Automaton]:
+        return [automaton(symbols.tolist(), len(self.letters) + 2) for symbols in self.learned]
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts end to end, and where each text starts; blanks and signs run together."""
@@ -77,13 +81,14 @@ class Parser:
         begin, size, owner = begin[order], size[order], owner[order]
         active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
         steps = [symbols[begin[:n] + at] for at, n in enumerate(active.tolist())]
-        for language, table in enumerate(self.tables):
-            # A state is the place of its row; its lowest bit says that a phrase began.
+        for language, known in enumerate(self.automata):
             state, count = np.zeros(len(begin), np.int32), np.zeros(len(begin), np.int32)
             for n, symbol in zip(active.tolist(), steps, strict=True):
-                now = table[(state[:n] >> 1) + symbol]
-                state[:n] = now
-                count[:n] += now & 1
+                at = known.base.take(state[:n]) + symbol
+                goes_on = known.owner.take(at) == state[:n]
+                # Where no phrase goes on, a new one begins with the symbol.
+                state[:n] = np.where(goes_on, known.to.take(at), known.first.take(symbol))
+                count[:n] += ~goes_on
             out[:, language] = np.bincount(owner, weights=count, minlength=len(lengths))
         return out
 
@@ -106,12 +111,18 @@ def _ascii_letter(points: np.ndarray) -> np.ndarray:
     return (points >= 97) & (points <= 122)
 
 
-def automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Suffix automaton of a text as one table: row place and symbol to twice the next row's place.
+@dataclass
+class Automaton:
+    """Edges of a suffix automaton in one row of slots: state ``s`` goes on with symbol ``c`` where ``base[s] + c`` is its own."""
 
-    Where no phrase goes on, a new one begins with the symbol: the entry is the
-    root's next state with its lowest bit set.
-    """
+    first: np.ndarray  # state after a phrase's first symbol, 0 where none begins so
+    base: np.ndarray
+    owner: np.ndarray
+    to: np.ndarray
+
+
+def automaton(symbols: list[int], width: int) -> Automaton:
+    """Suffix automaton of a text over symbols below ``width``, with as many slots as edges and some to spare."""
     nexts: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for symbol in symbols:
@@ -137,51 +148,85 @@ def automaton(symbols: list[int], width: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[new] = copy
         last = new
-    root = np.ones(width, np.int32)
+    first = np.zeros(width, np.int32)
     for symbol, to in nexts[0].items():
-        root[symbol] = 2 * to * width + 1
-    table = np.tile(root, (len(nexts), 1))
-    for state, edges in enumerate(nexts[1:], 1):
-        for symbol, to in edges.items():
-            table[state, symbol] = 2 * to * width
-    return table.ravel()
+        first[symbol] = to
+    return _slotted(first, nexts, width)
+
+
+def _slotted(first: np.ndarray, nexts: list[dict[int, int]], width: int) -> Automaton:
+    """States with many edges take their slots first, those with one fill the gaps."""
+    used = bytearray(3 * width + 2 * sum(map(len, nexts)))
+    base, owner, to = np.zeros(len(nexts), np.int32), [], []
+    chance = random.Random(0)
+    free = top = width  # slots below are spared, so no place is negative
+    for state in sorted(range(1, len(nexts)), key=lambda s: -len(nexts[s])):
+        edges = sorted(nexts[state])
+        if not edges:
+            break
+        while used[free]:
+            free += 1
+        slot, tries = free, 0
+        while used[slot] or any(used[slot + c - edges[0]] for c in edges):
+            tries += 1
+            if tries < 10:
+                slot += 1
+            else:  # anywhere below the top, at last above it: a long search costs more than some spare slots
+                slot = chance.randrange(free, top + 1) if tries < 40 else top + 1
+        if slot + 2 * width > len(used):
+            used += bytearray(len(used))
+        base[state] = slot - edges[0]
+        for c in edges:
+            at = slot + c - edges[0]
+            used[at] = 1
+            top = max(top, at + 1)
+            owner.append((at, state))
+            to.append((at, nexts[state][c]))
+    length = top + width  # every place that can be looked up
+    table = Automaton(first, base, np.full(length, -1, np.int32), np.zeros(length, np.int32))
+    for row, pairs in ((table.owner, owner), (table.to, to)):
+        if pairs:
+            at, value = np.array(pairs, np.int64).T
+            row[at] = value
+    return table
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", learned: int = LEARNED, documents: int = DOCUMENTS) -> Parser | None:
-    """Learns from a sample of labelled rows: at most ``documents`` texts of each of ``LANGUAGES`` languages.
+    """Learns every label from a sample of its rows: at most ``documents`` texts each.
 
     The sample is chosen by a hash of the texts, so copies count once and order
     doesn't matter; the automaton takes ``learned`` characters of it, the
-    calibration others. Rows without label or letters teach nothing; None when
-    nothing can be learned.
+    calibration half as many others. So many labels that they would exceed ``TOGETHER``
+    have equal, smaller shares, down to ``LEAST`` characters. Rows without label or
+    letters teach nothing; None when nothing can be learned.
     """
     useful = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
-    )
-    hashed = useful.select("lang", F.xxhash64("text").alias("hash"))
+    ).withColumn("hash", F.xxhash64("text"))
     # Ranks are cut off in every task before the shuffle.
     window = Window.partitionBy("lang").orderBy("hash")
-    chosen = hashed.withColumn("n", F.rank().over(window)).where(F.col("n") <= documents).select("lang", "hash").distinct()
-    bounds = chosen.groupBy("lang").agg(F.max("hash").alias("most")).orderBy("lang").limit(LANGUAGES).collect()
-    if not bounds:
+    ranked = useful.select("lang", "hash").withColumn("n", F.rank().over(window)).where(F.col("n") <= documents)
+    chosen = written(ranked.select("lang", "hash").distinct(), "language-sample")
+    names = chosen.select("lang").distinct().count()
+    if not names:
         return None
-    within = F.lit(False)
-    for row in bounds:
-        within |= (F.col("lang") == row["lang"]) & (F.col("hash") <= row["most"])
-    # At most LANGUAGES * documents texts, each cut to what can be used.
-    sample = (
-        useful.withColumn("hash", F.xxhash64("text")).where(within)
-        .select("lang", "hash", F.substring("text", 1, learned).alias("text")).distinct()
-        .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("hash", "text"))).alias("texts"))
-        .orderBy("lang").collect()
+    learned = min(learned, max(LEAST, TOGETHER // names))
+    calibrated = min(CALIBRATED, learned // 2)
+    # `documents` pairs of numbers a label; the texts are cut to what is used of them.
+    once = (
+        useful.join(F.broadcast(chosen), ["lang", "hash"], "left_semi")
+        .groupBy("lang", "hash").agg(F.min(F.substring("text", 1, learned)).alias("text"))
     )
-    texts = {row["lang"]: [t["text"] for t in row["texts"]] for row in sample}
-    points, counts = np.unique(
-        np.frombuffer("".join(t.lower() for ts in texts.values() for t in ts).encode("utf-32-le", "surrogatepass"), "<u4"), return_counts=True
-    )
-    letter = np.array([chr(p).isalpha() for p in points.tolist()])
-    points, counts = points[letter], counts[letter]
-    letters = np.sort(points[np.argsort(-counts, kind="stable")[:LETTERS]])
+    before = Window.partitionBy("lang").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    enough = F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)) < 2 * (learned + calibrated)
+    sample = once.withColumn("enough", enough).where("enough").orderBy("lang", "hash").collect()
+    texts: dict[str, list[str]] = {}
+    for row in sample:
+        texts.setdefault(row["lang"], []).append(row["text"])
+    points = np.unique(np.frombuffer("".join(t.lower() for ts in texts.values() for t in ts).encode("utf-32-le", "surrogatepass"), "<u4"))
+    letters = points[np.array([chr(p).isalpha() for p in points.tolist()], bool)]
+    if not len(letters):
+        return None
     plain = Parser([], letters, [], np.ones(0))
     models, own = [], []
     for name in texts:
@@ -189,16 +234,17 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", learned:
         sizes = [0, 0]
         for t in texts[name]:
             symbols, _ = plain.symbols([t])
-            side = 0 if sizes[0] * CALIBRATED <= sizes[1] * learned else 1
+            side = 0 if sizes[0] * calibrated <= sizes[1] * learned else 1
             halves[side].append(symbols)
             sizes[side] += len(symbols)
         models.append(np.concatenate(halves[0])[:learned])
-        own.append(np.concatenate(halves[1])[:CALIBRATED] if halves[1] else models[-1][:0])
-    parser = Parser(list(texts), letters, models, np.ones(len(texts)))
+        own.append(np.concatenate(halves[1])[:calibrated] if halves[1] else models[-1][:0])
+    usual = np.ones(len(texts))
     if all(map(len, own)):  # else there is nothing to compare with in some language
-        for n, symbols in enumerate(own):
-            parser.usual[n] = parser.phrases(symbols, np.array([0, len(symbols)]))[0, n] / len(symbols)
-    return parser
+        for n, (name, symbols) in enumerate(zip(texts, own, strict=True)):
+            alone = Parser([name], letters, [models[n]], np.ones(1))  # one automaton at a time
+            usual[n] = alone.phrases(symbols, np.array([0, len(symbols)]))[0, 0] / len(symbols)
+    return Parser(list(texts), letters, models, usual)
 
 
 def detect(docs: DataFrame, parser: Parser | None, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -208,14 +254,14 @@ def detect(docs: DataFrame, parser: Parser | None, text: str = "text", names: tu
     with score 0, as is everything when nothing was learned. Ties go to the
     first language by name.
     """
-    # Bounded by LANGUAGES and LEARNED.
+    # Characters and numbers, bounded by TOGETHER but for LEAST characters a label.
     what = parser and (parser.languages, parser.letters, parser.learned, parser.usual)
     shipped = docs.sparkSession.sparkContext.broadcast(what)
-    name = parser and ("language", hash(parser.letters.tobytes() + b"".join(x.tobytes() for x in parser.learned)))
+    name = parser and zlib.crc32(b"".join(x.tobytes() for x in (parser.letters, parser.usual, *parser.learned)))
 
     @F.pandas_udf("lang string, score double")
     def predicted(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = name and kept(name, lambda: Parser(*shipped.value))
+        model = kept("language", name, lambda: Parser(*shipped.value)) if name is not None else None
         for part in parts:
             texts = ["" if t is None else t for t in part.tolist()]
             names, scores = [], []

@@ -40,26 +40,19 @@ def token_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     shipped = docs.sparkSession.sparkContext.broadcast(open(vocabulary, "rb").read())  # one vocabulary file
 
     def pieces(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = kept(("word_pieces", vocabulary), lambda: WordPieces(shipped.value))
+        words = kept("word_pieces", vocabulary, lambda: WordPieces(shipped.value))
         numbers = row_numbers()
         last = np.array([end], "<u4").tobytes()
 
         def rows() -> Iterator[tuple]:
             for part in parts:
-                texts, ids = utf8(part.column("text")), part.column("doc_id").to_pylist()
-                at = 0
-                while at < len(texts):
-                    to, size = at, 0
-                    while to < len(texts) and size < AT_ONCE:
-                        size += len(texts[to])
-                        to += 1
-                    for doc, found in zip(ids[at:to], words.encode(texts[at:to]), strict=True):
-                        found += last
-                        row = next(numbers)
-                        for piece, start in enumerate(range(0, len(found), 4 * length)):
-                            cut = found[start : start + 4 * length]
-                            yield row, doc, piece, start // 4, len(cut) // 4, zlib.crc32(cut)
-                    at = to
+                ids = part.column("doc_id").to_pylist()
+                for n, found in words.encode_parts(utf8(part.column("text")), AT_ONCE):
+                    found += last
+                    row = next(numbers)
+                    for piece, start in enumerate(range(0, len(found), 4 * length)):
+                        cut = found[start : start + 4 * length]
+                        yield row, ids[n], piece, start // 4, len(cut) // 4, zlib.crc32(cut)
 
         return batches(
             {"row": pa.int64(), "doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}, rows()

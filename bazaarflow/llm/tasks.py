@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -50,9 +52,24 @@ def batches(columns: dict[str, pa.DataType], rows: Iterator[tuple], size: int =
         yield batch()
 
 
-def kept(name: tuple, make):
-    """What ``make`` gives, made once per Python worker: shipped code has fresh globals in every task."""
+def kept(purpose: str, key, make):
+    """What ``make`` gives, made once per Python worker: shipped code has fresh globals in every task.
+
+    A worker holds one thing at a time. Whatever was made for another purpose
+    or key is let go first, so a worker that lives through many jobs does not grow.
+    """
     held = sys.__dict__.setdefault("_bazaarflow_held", {})
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    if held.get("name") != (purpose, key):
+        held.clear()
+        give_back()
+        held.update(thing=make(), name=(purpose, key))
+    return held["thing"]
+
+
+def give_back() -> None:
+    """Free memory goes back to the system, where its library can do that."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another system's library
+        pass

@@ -11,6 +11,8 @@ from __future__ import annotations
 import gc
 import json
 import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import regex
@@ -20,8 +22,9 @@ NONE = np.int32(2**31 - 1)
 #: Printable ASCII and Latin letters, on which case and composition are plain.
 PLAIN = re.compile("[\x21-\x7e¡-įı-ɏ]+")
 LONGEST = 64
-#: Chunks remembered by a worker.
-REMEMBERED = 500_000
+#: Bytes of chunks and their ids that a worker remembers, and what an entry costs beside them.
+REMEMBERED = 48 << 20
+ENTRY = 130
 
 
 class WordPieces:
@@ -40,7 +43,10 @@ class WordPieces:
         names = [_byte_name(b) for b in range(256)]
         self.inner = np.array([ids[n] for n in names], np.int32)
         self.last = np.array([ids[n + "</w>"] for n in names], np.int32)
+        # Signs that the vocabulary's rules cut off a word and leave alone.
+        self.ends = {c for c in range(33, 127) if not chr(c).isalnum() and self.words.findall("a" + chr(c)) == ["a", chr(c)]}
         self.chunks: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _hash(self, keys: np.ndarray) -> None:
         bits = int(len(keys) * 6).bit_length()
@@ -115,26 +121,37 @@ class WordPieces:
 
     def _learn(self, chunks: set[bytes]) -> None:
         split: list[tuple[bytes, list[bytes]]] = []
-        single: list[tuple[bytes, bytes]] = []
+        single: list[bytes] = []
+        lowered: list[bytes] = []
         odd: list[bytes] = []
         for chunk in chunks:
+            # ASCII letters, alone or before one sign: what most chunks are.
+            if chunk.isalpha():
+                if len(chunk) < LONGEST:
+                    single.append(chunk)
+                    lowered.append(chunk.lower())
+                    continue
+            elif chunk[-1] in self.ends and chunk[:-1].isalpha() and len(chunk) < LONGEST:
+                split.append((chunk, [chunk[:-1].lower(), chunk[-1:]]))
+                continue
             text = chunk.decode()
             if not PLAIN.fullmatch(text) or b"<|" in chunk:
                 odd.append(chunk)
                 continue
             text = text.lower()
             if text.isalpha() and len(chunk) < LONGEST:
-                single.append((chunk, text.encode()))
+                single.append(chunk)
+                lowered.append(text.encode())
                 continue
             words = [w.encode() for w in self.words.findall(text)]
             if max(map(len, words)) > LONGEST:
                 odd.append(chunk)
             else:
                 split.append((chunk, words))
-        words = {word for _, word in single}
+        words = set(lowered)
         words.update(*(words for _, words in split))
         merged = self._merged(list(words))
-        self.chunks.update([(chunk, merged[word]) for chunk, word in single])
+        self.chunks.update(zip(single, map(merged.__getitem__, lowered), strict=True))
         self.chunks.update([(chunk, b"".join([merged[w] for w in words])) for chunk, words in split])
         if odd:
             found = self.library.encode_batch([c.decode() for c in odd], add_special_tokens=False)
@@ -143,15 +160,32 @@ class WordPieces:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
-        gc.disable()  # nothing here makes cycles, and the collector walks every remembered chunk
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        known = self.chunks
-        split = [text.split() for text in texts]
-        missing = {c for chunks in split for c in chunks if c not in known}
-        if missing:
-            self._learn(missing)
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and the collector walks every list of chunks
+        try:
+            if self.held > REMEMBERED:
+                self.chunks, self.held = {}, 0
+            known = self.chunks
+            split = [text.split() for text in texts]
+            missing = set(chain.from_iterable(split)).difference(known)
+            if missing:
+                self._learn(missing)
+                self.held += sum(map(len, missing)) + sum(map(len, map(known.__getitem__, missing))) + ENTRY * len(missing)
+            return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        finally:
+            if collecting:
+                gc.enable()
+
+    def encode_parts(self, texts: list[bytes], size: int) -> Iterator[tuple[int, bytes]]:
+        """Place and ids of each text, about ``size`` bytes of text at a time."""
+        at = 0
+        while at < len(texts):
+            to, held = at, 0
+            while to < len(texts) and held < size:
+                held += len(texts[to])
+                to += 1
+            yield from zip(range(at, to), self.encode(texts[at:to]), strict=True)
+            at = to
 
 
 def _byte_name(byte: int) -> str:

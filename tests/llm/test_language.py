@@ -71,3 +71,38 @@ def test_awkward(spark):
     assert language.detect(empty(spark), nothing).count() == 0
     one = language.train(labelled(spark).where("lang = 'xx'"))
     assert {r.lang_pred for r in language.detect(labelled(spark), one).collect()} == {"xx"}
+
+
+def test_every_label_is_learned(spark):
+    """Seventy labels with words of their own, and a bound on all together that gives each a smaller share."""
+    rng = random.Random(7)
+
+    def word():
+        return "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+
+    words = {f"l{n:02d}": [word() for _ in range(12)] for n in range(70)}
+    rows = [(n, " ".join(rng.choice(words[lang]) for _ in range(80)), lang) for n, lang in enumerate(sorted(words) * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    parser = language.train(docs.where(~language.held_out()))
+    assert parser.languages == sorted(words)
+    assert all(len(x) <= language.TOGETHER // 70 for x in parser.learned)
+    found = language.detect(docs.where(language.held_out()), parser).collect()
+    assert found and all(r.lang == r.lang_pred for r in found)
+
+
+def test_scripts_with_many_letters(spark):
+    rng = random.Random(9)
+    scripts = {"han": (0x4E00, 3000), "hangul": (0xAC00, 2000), "greek": (0x3B1, 24), "latin": (0x61, 26)}
+
+    def text(start, size, length=400):
+        # Few letters are frequent, as in any language.
+        return "".join(chr(start + min(int(rng.paretovariate(0.7)) - 1, size - 1)) if rng.random() < 0.85 else " " for _ in range(length))
+
+    rows = [(n, text(*scripts[name]), name) for n, name in enumerate(sorted(scripts) * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    parser = language.train(docs.where(~language.held_out()))
+    assert len(parser.letters) > 500
+    found = language.detect(docs.where(language.held_out()), parser).collect()
+    assert found and all(r.lang == r.lang_pred for r in found)
+    # No automaton has room for letters that its language lacks.
+    assert max(len(a.owner) for a in parser.automata) < 6 * language.LEARNED + 3 * len(parser.letters)
