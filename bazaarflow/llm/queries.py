@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarflow.llm import chat, filter_audit, fingerprints, language, license_scan, merkle, packing, pii, set_join, toxicity
+from bazaarflow.llm import chat, filter_audit, fingerprints, language, license_scan, merkle, packing, pii, set_join, token_files, toxicity
 from bazaarflow.llm.byte_pieces import byte_pieces
 from bazaarflow.llm.exact_index import exact_copies
 from bazaarflow.llm.registry import QUERIES, SQL, registered
+from bazaarflow.sources.scratch import working_folder
 from bazaarflow.sources.tables import table
 
 __all__ = ["QUERIES", "SQL"]
@@ -211,3 +212,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = filter_audit.failed_filters(table(spark, sf_dir, "documents"))
     return filter_audit.audit(filter_audit.labelled(failed, table(spark, sf_dir, "labels")))
+
+
+@registered()
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the files below the shared working folder and reads them back."""
+    folder = working_folder(spark, "token-files")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_tokens(token_files.tokens(table(spark, sf_dir, "documents"), vocabulary), folder)
+    return token_files.read_tokens(spark, folder, with_ids=False)
