@@ -43,8 +43,11 @@ class WordPieces:
         names = [_byte_name(b) for b in range(256)]
         self.inner = np.array([ids[n] for n in names], np.int32)
         self.last = np.array([ids[n + "</w>"] for n in names], np.int32)
-        # Signs that the vocabulary's rules cut off a word and leave alone.
-        self.ends = {c for c in range(33, 127) if not chr(c).isalnum() and self.words.findall("a" + chr(c)) == ["a", chr(c)]}
+        # Signs of which the vocabulary's rules cut a run off a word and leave it whole.
+        self.signs = bytes(
+            c for c in range(33, 127)
+            if not chr(c).isalnum() and c not in b"'<|>" and self.words.findall(f"a{chr(c)}!{chr(c)}") == ["a", f"{chr(c)}!{chr(c)}"]
+        )
         self.chunks: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -120,39 +123,36 @@ class WordPieces:
         return out
 
     def _learn(self, chunks: set[bytes]) -> None:
+        known = self.chunks
+        plain: list[tuple[bytes, bytes, bytes]] = []
         split: list[tuple[bytes, list[bytes]]] = []
-        single: list[bytes] = []
-        lowered: list[bytes] = []
         odd: list[bytes] = []
         for chunk in chunks:
-            # ASCII letters, alone or before one sign: what most chunks are.
-            if chunk.isalpha():
-                if len(chunk) < LONGEST:
-                    single.append(chunk)
-                    lowered.append(chunk.lower())
+            # Letters, alone or before a run of signs: what most chunks are.
+            body = chunk.rstrip(self.signs)
+            if len(chunk) < LONGEST:
+                if body.isalpha():
+                    plain.append((chunk, body.lower(), chunk[len(body) :]))
+                    continue
+                text = body.decode()
+                if text.isalpha() and PLAIN.fullmatch(text):
+                    plain.append((chunk, text.lower().encode(), chunk[len(body) :]))
                     continue
-            elif chunk[-1] in self.ends and chunk[:-1].isalpha() and len(chunk) < LONGEST:
-                split.append((chunk, [chunk[:-1].lower(), chunk[-1:]]))
-                continue
             text = chunk.decode()
             if not PLAIN.fullmatch(text) or b"<|" in chunk:
                 odd.append(chunk)
                 continue
-            text = text.lower()
-            if text.isalpha() and len(chunk) < LONGEST:
-                single.append(chunk)
-                lowered.append(text.encode())
-                continue
-            words = [w.encode() for w in self.words.findall(text)]
+            words = [w.encode() for w in self.words.findall(text.lower())]
             if max(map(len, words)) > LONGEST:
                 odd.append(chunk)
             else:
                 split.append((chunk, words))
-        words = set(lowered)
-        words.update(*(words for _, words in split))
-        merged = self._merged(list(words))
-        self.chunks.update(zip(single, map(merged.__getitem__, lowered), strict=True))
-        self.chunks.update([(chunk, b"".join([merged[w] for w in words])) for chunk, words in split])
+        # A word has the ids that it has as a chunk of its own.
+        words = {word for _, word, _ in plain}
+        words.update([signs for _, _, signs in plain if signs], *(words for _, words in split))
+        known.update(self._merged([w for w in words if w not in known]))
+        known.update([(chunk, known[word] + known[signs] if signs else known[word]) for chunk, word, signs in plain])
+        known.update([(chunk, b"".join([known[w] for w in words])) for chunk, words in split])
         if odd:
             found = self.library.encode_batch([c.decode() for c in odd], add_special_tokens=False)
             for chunk, encoding in zip(odd, found, strict=True):
@@ -169,8 +169,9 @@ class WordPieces:
             split = [text.split() for text in texts]
             missing = set(chain.from_iterable(split)).difference(known)
             if missing:
+                before = len(known)
                 self._learn(missing)
-                self.held += sum(map(len, missing)) + sum(map(len, map(known.__getitem__, missing))) + ENTRY * len(missing)
+                self.held += sum(map(len, missing)) + sum(map(len, map(known.__getitem__, missing))) + ENTRY * (len(known) - before)
             return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
         finally:
             if collecting:
