@@ -219,5 +219,6 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the files below the shared working folder and reads them back."""
     folder = working_folder(spark, "token-files")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    token_files.write_tokens(token_files.tokens(table(spark, sf_dir, "documents"), vocabulary), folder)
+    width = token_files.width_of(vocabulary)
+    token_files.write_tokens(token_files.tokens(table(spark, sf_dir, "documents"), vocabulary, width=width), folder, width)
     return token_files.read_tokens(spark, folder, with_ids=False)

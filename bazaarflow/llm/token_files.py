@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from bazaarflow.llm.tasks import batches, kept, row_numbers, utf8, written
 from bazaarflow.llm.word_pieces import WordPieces
@@ -32,18 +33,23 @@ END = 1
 AT_ONCE = 4 << 20
 BLOCK = 1 << 20
 MAGIC = b"TKIDS\x00\x01\n"
-#: Documents, ids, bytes of control and of ranks that follow.
-HEAD = "<QQQQ"
+#: Documents, bytes of control and of ranks that follow. Every document starts a control byte of its own.
+HEAD = "<QQQ"
 _MANIFEST = "file string, task int, docs long, ids long, bytes long"
 #: Bytes of each of the four ranks of a control byte, two bits a rank, the lowest first.
 WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 
-def tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
+def width_of(vocabulary: str) -> int:
+    """Bytes that hold any id of the vocabulary file."""
+    return 2 if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else 4
+
+
+def tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end: int = END, width: int = 4) -> DataFrame:
     """``doc_id``, ``row`` (numbers the rows) and ``ids`` of the whole text with ``end`` after them, as bytes.
 
     ``vocabulary`` is the path of a word-level BPE file, read by the driver. Null
-    counts as empty, which is ``end`` alone. Ids are little-endian unsigned 32-bit integers.
+    counts as empty, which is ``end`` alone. Ids are little-endian unsigned integers of ``width`` bytes.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(open(vocabulary, "rb").read())  # one vocabulary file
 
@@ -56,7 +62,8 @@ def tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
             for part in parts:
                 ids = part.column("doc_id").to_pylist()
                 for n, found in words.encode_parts(utf8(part.column("text")), AT_ONCE):
-                    yield ids[n], next(numbers), found + last
+                    found += last
+                    yield ids[n], next(numbers), found if width == 4 else np.frombuffer(found, "<u4").astype(f"<u{width}").tobytes()
 
         return batches({"doc_id": pa.int64(), "row": pa.int64(), "ids": pa.binary()}, rows(), 1024)
 
@@ -64,26 +71,42 @@ def tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
     return rows.mapInArrow(encoded, "doc_id long, row long, ids binary")
 
 
-def write_tokens(encoded: DataFrame, folder: str) -> DataFrame:
+def write_tokens(encoded: DataFrame, folder: str, width: int = 4) -> DataFrame:
     """Writes the rows of ``tokens`` into files below ``folder`` and returns the manifest.
 
+    The ids are coded before they are sorted, so the shuffle moves what the files will hold.
+
     Documents ascend by id, null ids first; rows with one id follow each other by
     the checksum of their ids. A task writes one file under a name of its own and
     reports it in the manifest, so what a lost or repeated attempt left behind does
     not count. An empty table gives an empty manifest.
     """
     encoded = written(encoded, "tokens")
-    ids = frequency_ranks(encoded)
+    ids = frequency_ranks(encoded, width)
     _store(f"{folder}/ranks.bin", ids.tobytes())
     rank = np.zeros(int(ids.max(initial=0)) + 1, np.uint32)
     rank[ids] = np.arange(len(ids), dtype=np.uint32)
     shipped = encoded.sparkSession.sparkContext.broadcast(rank)  # as long as the vocabulary
 
+    def coded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = shipped.value
+
+        def rows() -> Iterator[tuple]:
+            for part in parts:
+                for doc, row, found in zip(*(part.column(c).to_pylist() for c in ("doc_id", "row", "ids")), strict=True):
+                    ids = np.frombuffer(found, f"<u{width}")
+                    yield doc, row, zlib.crc32(ids.astype("<u4")), len(ids), *pack_ranks(rank[ids])
+
+        columns = {"doc_id": pa.int64(), "row": pa.int64(), "crc": pa.int64(), "n": pa.int64(), "control": pa.binary(), "data": pa.binary()}
+        return batches(columns, rows(), 1024)
+
     def stored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _write_file(parts, folder, shipped.value)
+        yield from _write_file(parts, folder)
 
-    order = [F.col("doc_id").asc_nulls_first(), F.crc32("ids"), F.col("row")]
-    files = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids").mapInArrow(stored, _MANIFEST)
+    order = [F.col("doc_id").asc_nulls_first(), F.col("crc"), F.col("row")]
+    rows = written(encoded.mapInArrow(coded, "doc_id long, row long, crc long, n long, control binary, data binary"), "token-codes")
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    files = dealt.select("doc_id", "n", "control", "data").mapInArrow(stored, _MANIFEST)
     files.write.parquet(f"{folder}/manifest")
     return manifest(encoded.sparkSession, folder)
 
@@ -95,14 +118,14 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
-def frequency_ranks(encoded: DataFrame) -> np.ndarray:
+def frequency_ranks(encoded: DataFrame, width: int = 4) -> np.ndarray:
     """All ids that occur, the most frequent first, then by number."""
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for part in parts:
             joined = b"".join(part.column("ids").to_pylist())
-            found = np.bincount(np.frombuffer(joined, "<u4"), minlength=len(total))
+            found = np.bincount(np.frombuffer(joined, f"<u{width}"), minlength=len(total))
             found[: len(total)] += total
             total = found
         here = np.flatnonzero(total)
@@ -125,13 +148,16 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), spread[np.arange(4) < width[:, None]].tobytes()
 
 
-def unpack_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The ranks, by a look-up of the widths of four at a time."""
-    width = WIDTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
+def unpack_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The ranks of texts with so many ids each, by a look-up of the widths of four at a time."""
+    width = WIDTHS[np.frombuffer(control, np.uint8)].ravel()
+    # The last control byte of a text may have places to spare.
+    places = -(-counts // 4) * 4
+    first = np.cumsum(places) - places
+    width = width[np.arange(len(width)) - np.repeat(first, places) < np.repeat(counts, places)]
     end = np.cumsum(width, dtype=np.int64)
     start = end - width
-    # Three more bytes let every rank be gathered as if it had four.
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    raw = np.frombuffer(data, np.uint8)
     ranks = raw[start].astype(np.uint32)
     for more in (1, 2, 3):
         wide = np.flatnonzero(width > more)
@@ -152,45 +178,42 @@ def _store(path: str, data: bytes) -> None:
         out.write(data)
 
 
-def _write_file(parts: Iterator[pa.RecordBatch], folder: str, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _write_file(parts: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get().partitionId()
     name = f"part-{task:06d}-{uuid.uuid4().hex}.ids"
     system, place = _place(f"{folder}/{name}")
-    out, docs, total, size = None, 0, 0, 0
-    held: list[tuple[int | None, bytes]] = []
+    out, docs, total, size = None, 0, 0, len(MAGIC)
+    held: list[tuple] = []
     waiting = 0
 
-    def block() -> bytes:
-        ids = np.frombuffer(b"".join([found for _, found in held]), "<u4")
-        control, data = pack_ranks(rank[ids])
-        names = np.array([doc or 0 for doc, _ in held], "<i8").tobytes()
-        absent = np.packbits([doc is None for doc, _ in held]).tobytes()
-        counts = np.array([len(found) // 4 for _, found in held], "<u8").tobytes()
-        return b"".join([struct.pack(HEAD, len(held), len(ids), len(control), len(data)), names, absent, counts, control, data])
+    def store_block() -> None:
+        nonlocal out, docs, total, size, waiting
+        out = out or _opened(system, place)
+        names, counts, control, data = zip(*held, strict=True)
+        block = b"".join([
+            struct.pack(HEAD, len(held), sum(map(len, control)), sum(map(len, data))),
+            np.array([n or 0 for n in names], "<i8").tobytes(), np.packbits([n is None for n in names]).tobytes(),
+            np.array(counts, "<u8").tobytes(), *control, *data,
+        ])
+        out.write(block)
+        docs, total, size, waiting = docs + len(held), total + waiting, size + len(block), 0
+        held.clear()
 
     try:
         for part in parts:
-            for doc, found in zip(part.column("doc_id").to_pylist(), part.column("ids").to_pylist(), strict=True):
-                held.append((doc, found))
-                waiting += len(found) // 4
+            for row in zip(*(part.column(c).to_pylist() for c in ("doc_id", "n", "control", "data")), strict=True):
+                held.append(row)
+                waiting += row[1]
                 if waiting >= BLOCK:
-                    out = out or _opened(system, place)
-                    size += out.write(block())
-                    docs, total = docs + len(held), total + waiting
-                    held.clear()
-                    waiting = 0
+                    store_block()
         if held:
-            out = out or _opened(system, place)
-            size += out.write(block())
-            docs, total = docs + len(held), total + waiting
+            store_block()
     finally:
         if out:
             out.close()
     if docs:
-        yield pa.RecordBatch.from_pylist(
-            [{"file": name, "task": task, "docs": docs, "ids": total, "bytes": size + len(MAGIC)}],
-            pa.schema([("file", pa.string()), ("task", pa.int32()), ("docs", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())]),
-        )
+        schema = pa.schema([("file", pa.string()), ("task", pa.int32()), ("docs", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())])
+        yield pa.RecordBatch.from_pylist([{"file": name, "task": task, "docs": docs, "ids": total, "bytes": size}], schema)
 
 
 def _opened(system: fs.FileSystem, place: str) -> pa.NativeFile:
@@ -231,14 +254,14 @@ def _read_file(folder: str, name: str, start: int, size: int) -> Iterator[tuple]
             raise ValueError(f"{name} is no file of token ids")
         at = len(MAGIC)
         while at < size:
-            docs, count, control, data = struct.unpack(HEAD, source.read(struct.calcsize(HEAD)))
+            docs, control, data = struct.unpack(HEAD, source.read(struct.calcsize(HEAD)))
             names = np.frombuffer(source.read(8 * docs), "<i8").tolist()
             absent = np.unpackbits(np.frombuffer(source.read(-(-docs // 8)), np.uint8), count=docs).tolist()
             counts = np.frombuffer(source.read(8 * docs), "<u8").astype(np.int64)
-            ids = by_rank[unpack_ranks(source.read(control), source.read(data), count)].tobytes()
+            ids = by_rank[unpack_ranks(source.read(control), source.read(data), counts)].tobytes()
             ends = np.cumsum(counts).tolist()
             for doc, none, n, end in zip(names, absent, counts.tolist(), ends, strict=True):
                 found = ids[4 * (end - n) : 4 * end]
                 yield None if none else doc, start + end - n, n, zlib.crc32(found), found
-            start += count
+            start += len(ids) // 4
             at += struct.calcsize(HEAD) + 16 * docs + -(-docs // 8) + control + data

@@ -26,11 +26,16 @@ def test_ranks_round_trip(numbers):
     control, data = token_files.pack_ranks(ranks)
     assert len(control) == -(-len(numbers) // 4)
     assert len(data) == sum(max(1, -(-n.bit_length() // 8)) for n in numbers)
-    assert token_files.unpack_ranks(control, data, len(numbers)).tolist() == numbers
+    assert token_files.unpack_ranks(control, data, np.array([len(numbers)])).tolist() == numbers
+    # Several texts, each from a control byte of its own.
+    parts = [ranks[:3], ranks[3:3], ranks[3:]]
+    packed = [token_files.pack_ranks(p) for p in parts]
+    both = [b"".join(x) for x in zip(*packed, strict=True)]
+    assert token_files.unpack_ranks(*both, np.array([len(p) for p in parts])).tolist() == numbers
 
 
-def written(spark, docs, folder):
-    listed = token_files.write_tokens(token_files.tokens(docs, PATH), folder)
+def written(spark, docs, folder, width=4):
+    listed = token_files.write_tokens(token_files.tokens(docs, PATH, width=width), folder, width)
     return listed, token_files.read_tokens(spark, folder).collect()
 
 
@@ -58,7 +63,8 @@ def test_files_give_back_all_ids(spark, tmp_path, monkeypatch, block):
 
 def test_given_documents(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").repartition(5)
-    _, rows = written(spark, docs, str(tmp_path / "out"))
+    assert token_files.width_of(PATH) == 2
+    _, rows = written(spark, docs, str(tmp_path / "out"), width=2)
     check(rows, docs)
 
 
