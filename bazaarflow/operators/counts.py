@@ -52,6 +52,21 @@ def feed_counts(found: DataFrame, target: DataFrame, key: str = KEY) -> DataFram
     )
 
 
+#: Size of a sketch: 2 ** SKETCH_BITS registers, a standard error of about 1.04 / 2 ** (SKETCH_BITS / 2).
+SKETCH_BITS = 14
+
+
+def key_sketch(batch: DataFrame, key: str = KEY, by: list[str] | None = None) -> DataFrame:
+    """One sketch of the batch's distinct keys (per group); ``distinct_estimate`` unites those of many batches."""
+    return batch.groupBy(*(by or [])).agg(F.hll_sketch_agg(key, SKETCH_BITS).alias("sketch"))
+
+
+def distinct_estimate(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """About how many distinct keys all sketches saw together, without going back to the rows."""
+    united = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*(by or [])).agg(united.alias("keys"))
+
+
 def facet(df: DataFrame, column: str, all_label: str = ALL_LABEL) -> DataFrame:
     """Distinct values in ascending order, after the entry that means "any"."""
     values = df.select(F.col(column).alias("value")).distinct()

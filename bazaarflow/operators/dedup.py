@@ -25,6 +25,35 @@ def first_per_key(
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def collated(key: Column | str, collation: str) -> Column:
+    """The key as a database compares it: equal where the collation has no difference (``UTF8_LCASE``, ``UNICODE_CI_AI`` and so on)."""
+    return F.collate(F.col(key) if isinstance(key, str) else key, collation)
+
+
+def first_per_collated_key(df: DataFrame, key: str = KEY, collation: str = "UTF8_LCASE", order: list[Column | str] | None = None) -> DataFrame:
+    """The earliest row of each key, where keys that differ in letter case (or accents) only are one key.
+
+    Rows keep the key as they spell it; equal times go by the spelling, then by all other columns.
+    """
+    if order is None:
+        rest = [name for name in df.columns if name not in (key, TIME)]
+        order = [F.asc_nulls_last(name) for name in [TIME, key, *rest]]
+    rank = F.row_number().over(W.partitionBy(collated(key, collation)).orderBy(*order))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+def drop_known_collated(batch: DataFrame, target: DataFrame, key: str = KEY, collation: str = "UTF8_LCASE") -> DataFrame:
+    """Rows whose key the target has in no spelling that the collation takes for the same. Rows without a key never pass."""
+    stored = target.where(F.col(key).isNotNull()).select(collated(key, collation).alias("_known"))
+    keyed = batch.where(F.col(key).isNotNull()).withColumn("_key", collated(key, collation))
+    return keyed.join(stored, F.col("_key") == F.col("_known"), "left_anti").select(*batch.columns)
+
+
+def stream_dedup_collated(stream: DataFrame, key: str = KEY) -> DataFrame:
+    """A key in any letter case passes once along a stream. State compares bytes, so it holds the lower-case key."""
+    return stream.withColumn("_lower", F.lower(key)).dropDuplicates(["_lower"]).drop("_lower")
+
+
 def stream_dedup(stream: DataFrame, key: str = KEY, salts: int = 1) -> DataFrame:
     """A key once let through never passes again; state grows with the keys.
 
