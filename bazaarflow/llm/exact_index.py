@@ -17,12 +17,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarflow.llm.tasks import batches, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, join_classes, row_numbers, utf8, written
 
 BLANKS = b" \t\n\x0b\x0c\r"
 #: Texts in a bucket before it is split, and bits of a hash that one pass may use.
-CAPACITY = 50_000
-BITS = 14
+CAPACITY = 10_000
+BITS = 18
 #: Bytes of packed texts that a scan task remembers to recognise repeats.
 REMEMBERED = 32 << 20
 
@@ -58,7 +58,8 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
         F.count(F.lit(1)).alias("group_size"),
         F.max(F.struct("n_chars", (-F.col("doc_id")).alias("a"), (-F.col("row")).alias("b"))).alias("best"),
     )
-    return light.join(groups, ["hash", "chain"]).select(
+    groups = written(groups, "exact-classes")
+    return join_classes(light, groups, ["hash", "chain"], "group_size").select(
         "doc_id",
         (-F.col("best.a")).alias("keep_id"),
         "group_size",
@@ -136,7 +137,7 @@ def _chained(index: DataFrame, capacity: int) -> DataFrame:
     owned = (
         texts.select("entry", "hash", "body", slot.alias("slot"))
         .join(F.broadcast(table), "slot")  # at most 2 ** BITS rows
-        .repartition(max(1, len(numbers)), "bucket")
+        .repartitionByRange(max(1, len(numbers)), "bucket")  # a task for every bucket
         .sortWithinPartitions("bucket", "hash", "entry")
         .select("entry", "hash", "body")
     )

@@ -60,8 +60,14 @@ PASSAGE = NOTICE + r"|permission is hereby granted|permission to use, copy"
 LINES = ((0, 1), (1, 0), (1, 1), (0, 2), (2, 2), (1, 4), (0, 6), (3, 7), (0, 10), (0, 14), (4, 14), (2, 20), (0, 24))
 WORDS = ((3, 3), (7, 0), (0, 8), (5, 7), (8, 3))
 SPDX = r"(?i)SPDX-License-Identifier:[ \t]*(\(?[A-Za-z0-9.+-]+\)?(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[A-Za-z0-9.+-]+\)?)*)"
-#: Characters of a window above which no header or one-line notice is like it; whole files are compared at any length.
-WINDOW = 8_000
+#: Lines longer than this are cut by words into lines of up to 60 characters and the rest of a word, so that every window
+#: is bounded. What is longer than any word of a licence, such as code without blanks, is left out of them.
+LONG = 300
+CUT = r"\S.{0,59}\S{0,140}"
+NO_WORD = r"\S{100,}"
+#: Lines around a notice that its windows take from.
+BEFORE = max(a for a, _ in LINES)
+AROUND = BEFORE + max(a + b for a, b in LINES) + 1
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|notice)(?:\.\w+)?$"
 #: Cosine from which a notice is that of a template.
 LIKE = 0.75
@@ -138,17 +144,29 @@ def passages(files: DataFrame, text: str = "text", path: str = "path") -> DataFr
     """
     some = files.where(F.col(text).rlike(PASSAGE)).select(F.col(path).alias("path"), F.col(text).alias("text"))
     bare = some.withColumn("lines", F.split(F.regexp_replace("text", r"(?m)^[\s#*/;!%>-]+|[\s*/>-]+$", "\n"), r"\R+", -1))
+    cut = F.transform("lines", lambda x: F.when(F.length(x) > LONG, F.regexp_extract_all(F.regexp_replace(x, NO_WORD, " "), F.lit(CUT), F.lit(0))).otherwise(F.array(x)))
+    bare = bare.withColumn("given", F.size("lines")).withColumn("lines", F.flatten(cut))
     lines = F.col("lines")
-    bare = bare.withColumn("at", F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(PASSAGE), i)), lambda i: i.isNotNull()))
-    bare = bare.withColumn("joined", F.array_join("lines", " "))
-    near = F.flatten(F.transform("at", lambda i: F.array(*[
-        F.array_join(F.slice(lines, F.greatest(i - a, F.lit(0)) + 1, F.lit(a + b + 1)), " ") for a, b in LINES
-    ])))
-    sentences = F.filter(F.split("joined", r"(?<=[.!?])\s+", -1), lambda x: x.rlike(PASSAGE))
+    # A notice may lie over two of the lines that a long one was cut into.
+    over = lambda i: F.array_join(F.slice(lines, i + 1, F.lit(2)), " ").rlike(PASSAGE)
+    starts = F.transform(lines, lambda x, i: F.when(x.rlike(PASSAGE) | ((F.size(lines) > F.col("given")) & over(i)), i))
+    bare = bare.withColumn("at", F.filter(starts, lambda i: i.isNotNull())).withColumn("joined", F.array_join("lines", " "))
+    bare = bare.select("path", "lines", "at", "joined")
+
+    # One row per notice with the lines around it, however many notices a file has.
+    around = F.transform("at", lambda i: F.struct(
+        F.least(i, F.lit(BEFORE)).alias("i"), F.slice(lines, F.greatest(i - BEFORE, F.lit(0)) + 1, F.lit(AROUND)).alias("lines")))
+    near = bare.select("path", F.explode(around).alias("n")).select("path", "n.i", "n.lines")
+    windows = F.array(*[F.array_join(F.slice("lines", F.greatest(F.col("i") - a, F.lit(0)) + 1, F.lit(a + b + 1)), " ") for a, b in LINES])
+    near = near.select("path", F.explode(F.array_distinct(windows)).alias("text"))
+    # A sentence too long for a header is left to the windows inside it.
+    sentences = F.filter(F.split("joined", r"(?<=[.!?])\s+", -1), lambda x: x.rlike(PASSAGE) & (F.length(x) <= LONG * AROUND))
     words = F.concat(*[F.regexp_extract_all("joined", F.lit(r"(?:(?<!\S)\S++\s){0,%d}(?<!\S)[^\s]*?(?i:licen[cs]|reserved|public)\S*+(?:\s\S++){0,%d}" % w), F.lit(0)) for w in WORDS])
-    window = lambda c: F.transform(F.filter(F.array_distinct(c), lambda x: F.length(x) <= WINDOW), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("text")))
-    units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("joined").alias("text"))), window(F.concat(near, sentences, words)))
-    found = written(bare.select("path", F.explode(units).alias("u")).select("path", "u.whole", "u.text", F.md5("u.text").alias("unit")), "passages")
+    inside = bare.select("path", F.explode(F.array_distinct(F.concat(sentences, words))).alias("text"))
+    units = bare.select("path", F.lit(True).alias("whole"), F.col("joined").alias("text"))
+    for part in (near, inside):
+        units = units.unionByName(part.select("path", F.lit(False).alias("whole"), "text"))
+    found = written(units.withColumn("unit", F.md5("text")), "passages")
 
     rows = _references()
     total = len({r[1] for r in rows})
@@ -191,6 +209,7 @@ def licences(files: DataFrame, text: str = "text", path: str = "path", licence_f
     both = notices(every).select("path", "license", "similarity", F.lit(False).alias("whole")).unionByName(passages(every))
     rank = F.when(F.col("license") == "Proprietary", 2).when(F.col("whole"), 0).otherwise(1)
     found = both.groupBy("path").agg(F.min(F.struct(rank.alias("rank"), (-F.col("similarity")).alias("less"), "license", "similarity")).alias("own"))
+    found = written(found, "licences-found")  # used twice below
     paths = every.groupBy("path").agg(F.max("whole").alias("whole"))
     paths = paths.withColumn("folder", folder(F.col("path")))
     named = paths.join(found, "path", "left")

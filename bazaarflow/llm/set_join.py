@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarflow.llm.components import components
-from bazaarflow.llm.tasks import batches, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, join_classes, let_go, row_numbers, utf8, written
 
 #: Bytes of text hashed at a time, index entries held by a task, documents on one side of a comparison.
 AT_ONCE = 2 << 20
 ENTRIES = 1_500_000
 SIDE = 256
+#: Rows of two numbers that are broadcast.
+SMALL = 250_000
 #: For the cost of a partition: the chance that unrelated texts share a shingle, and the price of a comparison in index entries.
 SHARED = 0.001
 COMPARED = 30.0
@@ -295,11 +297,14 @@ def similar_components(
     counts = {r["step"]: r["n"] for r in steps}
 
     shared = _shared_entries(rows, words, above, below, counts)
+    let_go(docs.sparkSession)
     pairs = written(shared.where(F.col("digest") != F.col("pivot")).select("digest", "pivot").distinct(), "pairs")
     nodes = pairs.select("digest").union(pairs.select("pivot")).distinct()
+    # Equal sets become one row per task before they meet.
     profiles = written(
-        filled.select("digest", "n_shingles", "profile").join(nodes, "digest", "left_semi").dropDuplicates(["digest"]), "profiles"
+        filled.select("digest", "n_shingles", "profile").dropDuplicates(["digest"]).join(nodes, "digest", "left_semi"), "profiles"
     )
+    let_go(docs.sparkSession)
     texts = _texts_of(rows, filled, nodes, words)
 
     first = _compared(_stars(_possible(pairs, profiles, above, below)), texts, words, above, below)
@@ -310,13 +315,14 @@ def similar_components(
 
     # Each class takes its smallest row first, so that hot classes meet as one row per task.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    classes = filled.groupBy("digest").agg(F.min(order).alias("first"))
+    classes = filled.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("size"))
     named = classes.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "digest", "first", F.coalesce("root", "digest").alias("root")
+        "digest", "first", "size", F.coalesce("root", "digest").alias("root")
     )
-    chosen = named.groupBy("root").agg(F.min("first").alias("chosen"))
-    labels = named.select("digest", "root").join(chosen, "root").select("digest", "chosen")
-    labelled = filled.join(labels, "digest").select(
+    named = written(named, "set-classes")
+    chosen = named.groupBy("root").agg(F.min("first").alias("chosen"), F.count(F.lit(1)).alias("sets"))
+    labels = written(join_classes(named.select("digest", "size", "root"), written(chosen, "set-roots"), ["root"], "sets").select("digest", "size", "chosen"), "set-labels")
+    labelled = join_classes(filled, labels, ["digest"], "size").select(
         "doc_id", "n_shingles", F.col("chosen.doc_id").alias("component_id"), (F.col("row") == F.col("chosen.row")).alias("kept"), "same_text"
     )
     alone = sets.where(F.col("digest").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "same_text")
@@ -373,8 +379,11 @@ def _shared_entries(rows: DataFrame, words: int, above: int, below: int, counts:
 
 def _texts_of(rows: DataFrame, filled: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """One packed text for each of the given sets."""
-    one = filled.join(nodes, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc_id", "same_text")).alias("one"))
-    wanted = one.select(F.col("one.doc_id").alias("w_id"), F.col("one.same_text").alias("w_text")).distinct()
+    # Equal sets become one row per task before they meet.
+    one = filled.groupBy("digest").agg(F.min(F.struct("doc_id", "same_text")).alias("one")).join(nodes, "digest", "left_semi")
+    wanted = written(one.select(F.col("one.doc_id").alias("w_id"), F.col("one.same_text").alias("w_text")).distinct(), "set-wanted")
+    # Few of them go to the texts; else both sides are shuffled.
+    wanted = F.broadcast(wanted) if wanted.count() <= SMALL else wanted
     found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["w_id"]) & (rows["same_text"] == wanted["w_text"]), "left_semi")
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,19 +404,30 @@ def _can_link(one: int, other: int, apart: np.ndarray | int, above: int, below:
 
 def _possible(pairs: DataFrame, profiles: DataFrame, above: int, below: int) -> DataFrame:
     """Pairs whose profiles don't rule out a link: sets differ in no fewer shingles than their profiles do."""
-    one = profiles.select("digest", F.col("n_shingles").alias("n1"), F.col("profile").alias("p1"))
-    other = profiles.select(F.col("digest").alias("pivot"), F.col("n_shingles").alias("n2"), F.col("profile").alias("p2"))
-    # Sizes alone rule out many.
-    fits = (F.least("n1", "n2") * below >= F.greatest("n1", "n2") * above)
-    both = pairs.join(one, "digest").join(other, "pivot").where(fits)
+    # Sizes alone rule out many, before any profile is sent.
+    sizes = profiles.select("digest", F.col("n_shingles").alias("n1"))
+    sized = pairs.join(sizes, "digest").join(sizes.select(F.col("digest").alias("pivot"), F.col("n1").alias("n2")), "pivot")
+    fits = written(sized.where(F.least("n1", "n2") * below >= F.greatest("n1", "n2") * above), "fitting-pairs")
+    let_go(pairs.sparkSession)
+    one = profiles.select("digest", F.col("profile").alias("p1"))
+    other = profiles.select(F.col("digest").alias("pivot"), F.col("profile").alias("p2"))
+    both = fits.join(one, "digest").join(other, "pivot")
 
     def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            keep = []
-            for n1, n2, p1, p2 in zip(*(part.column(n).to_pylist() for n in ("n1", "n2", "p1", "p2")), strict=True):
-                a, b = _folded([p1, p2])
-                keep.append(bool(_can_link(n1, n2, np.abs(a - b).sum(), above, below)))
-            yield part.select(["digest", "pivot"]).filter(pa.array(keep, pa.bool_()))
+            n1, n2 = (part.column(n).to_numpy() for n in ("n1", "n2"))
+            p1, p2 = (part.column(n).to_pylist() for n in ("p1", "p2"))
+            keep = np.zeros(part.num_rows, bool)
+            # Pairs of profiles with the same widths are looked at together.
+            widths = np.array([(len(a), len(b)) for a, b in zip(p1, p2, strict=True)], np.int64).reshape(-1, 2)
+            for wide, narrow in np.unique(widths, axis=0).tolist():
+                at = np.flatnonzero((widths == (wide, narrow)).all(1))
+                for some in np.array_split(at, -(-len(at) * max(wide, narrow) // AT_ONCE)):
+                    a, b = (np.frombuffer(b"".join([p[n] for n in some.tolist()]), np.uint8).reshape(len(some), -1) for p in (p1, p2))
+                    width = min(wide, narrow)
+                    a, b = (x.reshape(len(some), width, -1).sum(2, dtype=np.int32) for x in (a, b))
+                    keep[some] = _can_link(n1[some], n2[some], np.abs(a - b).sum(1), above, below)
+            yield part.select(["digest", "pivot"]).filter(pa.array(keep))
 
     return written(both.select("digest", "pivot", "n1", "n2", "p1", "p2").mapInArrow(possible, "digest long, pivot long"), "possible-pairs")
 
@@ -417,6 +437,7 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
 
     Rows, not pairs, come out, so the result is no larger than the cells are.
     """
+    let_go(profiles.sparkSession)
     rows = cells.join(profiles, "digest").repartition("cell").sortWithinPartitions("cell", "digest")
 
     def found(held: list[tuple]) -> Iterator[tuple]:
@@ -487,6 +508,7 @@ def _compared(cells: DataFrame, texts: DataFrame, words: int, above: int, below:
 
     Sets that ``root`` knows as connected are not compared again.
     """
+    let_go(texts.sparkSession)
     rows = cells.join(texts, "digest").repartition("cell").sortWithinPartitions("cell", "digest").select("cell", "digest", "side", "root", "body")
 
     def links(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarflow.sources.scratch import working_folder
 
@@ -21,6 +22,30 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Shuffles of frames that are out of use leave the disks now, not when the driver's memory next runs full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+#: Rows of one class that one task of a join may get, and classes that may be broadcast instead.
+HOT = 200
+BROADCAST = 10_000
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Inner join of rows with their class, one row per class, that holds the number ``size`` of its rows.
+
+    A class with many rows goes to every task, so its rows stay where they are; there are at most
+    ``BROADCAST`` such classes. The others meet by their keys.
+    """
+    total = classes.agg(F.sum(size)).first()[0] or 0
+    many = F.col(size) > max(HOT, total // BROADCAST)
+    hot = F.broadcast(classes.where(many))
+    cold = rows.join(F.broadcast(classes.where(many).select(*keys)), keys, "left_anti").join(classes.where(~many), keys)
+    return rows.join(hot, keys).unionByName(cold)
+
+
 def row_numbers() -> Iterator[int]:
     """Numbers that no other task of the same stage gives."""
     number = TaskContext.get().partitionId() << 40

@@ -1,6 +1,6 @@
-"""Toxicity by a chain of linear models.
+"""Toxicity by a chain of linear models over the given labels.
 
-Each category has a logistic model on words and word beginnings; a later model
+Each label column, one after the other, has a logistic model on words and word beginnings; a later model
 also sees the probabilities of the earlier ones. Those are learned out of fold,
 so a later model meets probabilities as uncertain as it will meet them in new texts.
 """
@@ -18,13 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Words that tell weakly what kind of toxicity a toxic text has.
-KINDS = {
-    "insult": ("clown", "idiot", "loser", "moron", "stupid"),
-    "contempt": ("disgusting", "pathetic", "scum", "trash", "worthless"),
-}
-#: Categories in the order of the chain.
-CHAIN = (*KINDS, "toxic")
+from bazaarflow.llm.tasks import written
+
+#: Label columns in the order of the chain; the last one is what a text is called toxic by.
+CHAIN = ("quality", "toxic")
 #: Bounds of what is learned: labelled documents, terms, texts that a term must occur in.
 DOCUMENTS = 20_000
 TERMS = 4_000
@@ -45,6 +42,7 @@ def terms(text: str) -> set[str]:
 class Chain:
     """Weights by category: terms first, then the logits of the earlier categories."""
 
+    names: tuple[str, ...]
     terms: list[str]
     weights: list[np.ndarray]
     biases: list[float]
@@ -88,69 +86,77 @@ def _fitted(rows: np.ndarray, columns: np.ndarray, dense: np.ndarray, target: np
     return weight, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", documents: int = DOCUMENTS) -> Chain | None:
+def train(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", chain: tuple[str, ...] = CHAIN, documents: int = DOCUMENTS
+) -> Chain | None:
     """Learns the chain from a bounded sample of labelled documents.
 
-    At most about ``documents`` of them, chosen by a hash of the id, are used. The kinds have no
-    labels of their own: a toxic text is of a kind when it has one of its words. Null labels
-    and ids teach nothing; None when there is nothing of either class.
+    ``chain`` names columns of ``labels``. At most about ``documents`` ids, chosen by a
+    hash, are used. An id with several rows has a label where any of them says so; ids
+    that lack one of the labels, and null ids, teach nothing. Rows of ``docs`` with one id and one
+    text teach once. None when nothing has the last label, or everything.
     """
-    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).dropna().dropDuplicates(["doc_id"])
+    said = [F.max((F.col(c).cast("int") > 0).cast("int")).alias(c) for c in chain]
+    known = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg(*said).dropna()
     every = max(1, -(-known.count() // max(1, documents)))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
-    sample = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).join(known, "doc_id")
+    mask = sum((F.col(c) * (1 << n) for n, c in enumerate(chain)), F.lit(0))
+    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("doc_id", mask.alias("mask"))
+    # About `documents` ids and masks go to every task; the texts stay where they are.
+    known = F.broadcast(written(known, "toxicity-ids"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    sample = written(texts.join(known, "doc_id").dropDuplicates(["doc_id", "text"]), "toxicity-sample")
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for part in parts:
-            for one, toxic in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
-                found.update((t, toxic > 0) for t in terms(one))
+            for one, bits in zip(part.column("text").to_pylist(), part.column("mask").to_pylist(), strict=True):
+                found.update((t, bits) for t in terms(one))
             if len(found) > 1_000_000:
                 yield _counts(found)
                 found.clear()
         if found:
             yield _counts(found)
 
-    counts = sample.select("text", "label").mapInArrow(counted, "term string, toxic boolean, n long").groupBy("term").agg(
-        F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("yes"), F.sum(F.when(~F.col("toxic"), F.col("n")).otherwise(0)).alias("no")
-    )
-    sizes = {bool(r["label"]): r["count"] for r in sample.groupBy((F.col("label") > 0).cast("int").alias("label")).count().collect()}
-    if len(sizes) < 2:
+    counts = sample.select("text", "mask").mapInArrow(counted, "term string, mask int, n long").groupBy("term", "mask").agg(F.sum("n").alias("n"))
+    sizes = {r["mask"]: r["count"] for r in sample.groupBy("mask").count().collect()}  # one row per combination
+    last = 1 << len(chain) - 1
+    if len({bool(m & last) for m in sizes}) < 2:
         return None
-    rate_yes, rate_no = (F.col("yes") + 0.5) / (sizes[True] + 1), (F.col("no") + 0.5) / (sizes[False] + 1)
-    strength = F.abs(F.log(rate_yes / rate_no)) / F.sqrt(1 / (F.col("yes") + 0.5) + 1 / (F.col("no") + 0.5))
-    # The vocabulary of the models: a top list of TERMS rows.
-    chosen = counts.where(F.col("yes") + F.col("no") >= LEAST).orderBy(strength.desc(), "term").limit(TERMS).collect()
-    vocabulary = sorted({r["term"] for r in chosen} | {w for words in KINDS.values() for w in words})
+    # The vocabulary of the models: a top list for every label, TERMS rows in all.
+    chosen = set()
+    for n in range(len(chain)):
+        in_class = F.col("mask").bitwiseAND(1 << n) != 0
+        total = sum(c for m, c in sizes.items() if m >> n & 1), sum(c for m, c in sizes.items() if not m >> n & 1)
+        yes, no = F.sum(F.when(in_class, F.col("n")).otherwise(0)), F.sum(F.when(~in_class, F.col("n")).otherwise(0))
+        table = counts.groupBy("term").agg(yes.alias("yes"), no.alias("no")).where(F.col("yes") + F.col("no") >= LEAST)
+        rates = (F.col("yes") + 0.5) / (total[0] + 1), (F.col("no") + 0.5) / (total[1] + 1)
+        strength = F.abs(F.log(rates[0] / rates[1])) / F.sqrt(1 / (F.col("yes") + 0.5) + 1 / (F.col("no") + 0.5))
+        chosen |= {r["term"] for r in table.orderBy(strength.desc(), "term").limit(TERMS // len(chain)).collect()}
+    vocabulary = sorted(chosen)
     place = {t: n for n, t in enumerate(vocabulary)}
 
     def sparse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             columns = [sorted(place[t] for t in terms(one) if t in place) for one in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(columns, pa.list_(pa.int32()))], ["doc_id", "label", "terms"])
+            hashes = part.column("hash")
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), hashes, part.column("mask"), pa.array(columns, pa.list_(pa.int32()))], ["doc_id", "hash", "mask", "terms"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    # At most about `documents` rows of numbers below TERMS.
-    taught = sample.select("doc_id", "label", "text").mapInArrow(sparse, f"doc_id {kind}, label int, terms array<int>").orderBy("doc_id").collect()
-    lengths = [len(r["terms"]) for r in taught]
-    rows = np.repeat(np.arange(len(taught)), lengths)
+    numbered = sample.select("doc_id", F.xxhash64("text").alias("hash"), "mask", "text")
+    # About `documents` rows of numbers below TERMS.
+    taught = numbered.mapInArrow(sparse, f"doc_id {kind}, hash long, mask int, terms array<int>").orderBy("doc_id", "hash").collect()
+    rows = np.repeat(np.arange(len(taught)), [len(r["terms"]) for r in taught])
     columns = np.array([c for r in taught for c in r["terms"]], np.int64)
-    toxic = np.array([r["label"] > 0 for r in taught])
-    targets = []
-    for words in KINDS.values():
-        has = np.zeros(len(taught), bool)
-        has[rows[np.isin(columns, [place[w] for w in words])]] = True
-        targets.append((has & toxic).astype(float))
-    targets.append(toxic.astype(float))
-    return _chain(vocabulary, rows, columns, targets)
+    targets = [np.array([r["mask"] >> n & 1 for r in taught], float) for n in range(len(chain))]
+    return _chain(tuple(chain), vocabulary, rows, columns, targets)
 
 
 def _counts(found: Counter) -> pa.RecordBatch:
     keys = list(found)
-    return pa.record_batch([pa.array([t for t, _ in keys]), pa.array([y for _, y in keys]), pa.array([found[k] for k in keys], pa.int64())], names=["term", "toxic", "n"])
+    return pa.record_batch([pa.array([t for t, _ in keys]), pa.array([m for _, m in keys], pa.int32()), pa.array([found[k] for k in keys], pa.int64())], names=["term", "mask", "n"])
 
 
-def _chain(vocabulary: list[str], rows: np.ndarray, columns: np.ndarray, targets: list[np.ndarray]) -> Chain:
+def _chain(names: tuple[str, ...], vocabulary: list[str], rows: np.ndarray, columns: np.ndarray, targets: list[np.ndarray]) -> Chain:
     count, size = len(targets[0]), len(vocabulary)
     fold = np.arange(count) % FOLDS
     earlier = np.zeros((count, 0))
@@ -169,7 +175,7 @@ def _chain(vocabulary: list[str], rows: np.ndarray, columns: np.ndarray, targets
         biases.append(bias)
         thresholds.append(_threshold(outside, target))
         earlier = np.hstack([earlier, outside[:, None]])
-    return Chain(vocabulary, weights, biases, thresholds)
+    return Chain(names, vocabulary, weights, biases, thresholds)
 
 
 def _threshold(chance: np.ndarray, target: np.ndarray) -> float:
@@ -182,17 +188,18 @@ def _threshold(chance: np.ndarray, target: np.ndarray) -> float:
     return float((chance[order[at]] + below) / 2)
 
 
-def score(docs: DataFrame, chain: Chain | None, text: str = "text") -> DataFrame:
-    """Adds ``p_<category>`` for every category and ``toxic``; all rows and columns stay.
+def score(docs: DataFrame, chain: Chain | None, text: str = "text", names: tuple[str, ...] = CHAIN) -> DataFrame:
+    """Adds ``p_<label>`` for every label of the chain and ``toxic``; all rows and columns stay.
 
     Whole texts are read; null and empty texts have probability 0, as have all
-    texts when nothing was learned.
+    texts when nothing was learned (``names`` are the labels then).
     """
-    plain = chain and (chain.terms, chain.weights, chain.biases, chain.thresholds)
+    names = chain.names if chain else names
+    plain = chain and (chain.names, chain.terms, chain.weights, chain.biases, chain.thresholds)
     shipped = docs.sparkSession.sparkContext.broadcast(plain)  # bounded by TERMS
-    names = [f"p_{c}" for c in CHAIN]
+    added = [f"p_{c}" for c in names]
 
-    @F.pandas_udf(", ".join(f"{n} double" for n in names) + ", toxic boolean")
+    @F.pandas_udf(", ".join(f"`{n}` double" for n in added) + ", toxic boolean")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shipped.value and Chain(*shipped.value)
         place = {t: n for n, t in enumerate(model.terms)} if model else {}
@@ -203,14 +210,14 @@ def score(docs: DataFrame, chain: Chain | None, text: str = "text") -> DataFrame
                 found = known & terms(one or "")
                 columns += [place[t] for t in found]
                 rows += [n] * len(found)
-            chances = np.zeros((len(part), len(CHAIN)))
+            chances = np.zeros((len(part), len(added)))
             if model:
                 chances = model.predict(np.array(rows, np.int64), np.array(columns, np.int64), len(part))
                 chances[[not one for one in part.tolist()]] = 0
-            out = pd.DataFrame(np.round(chances, 6), columns=names)
-            out["toxic"] = out[names[-1]] >= model.thresholds[-1] if model else False
+            out = pd.DataFrame(np.round(chances, 6), columns=added)
+            out["toxic"] = out[added[-1]] >= model.thresholds[-1] if model else False
             yield out
 
-    added = "__scored"
-    kept = [docs[c] for c in docs.columns if c not in (*names, "toxic")]
-    return docs.withColumn(added, scored(F.col(text).cast("string"))).select(*kept, f"{added}.*")
+    held = "__scored"
+    kept = [docs[c] for c in docs.columns if c not in (*added, "toxic")]
+    return docs.withColumn(held, scored(F.col(text).cast("string"))).select(*kept, f"{held}.*")

@@ -72,6 +72,63 @@ def test_headers_licence_files_and_identifiers(spark):
     assert found == {p: name for p, (_, name) in wanted.items()}
 
 
+def test_notices_inside_very_long_lines(spark):
+    """A licence text and a header inside one line of a minified file, and a file of nothing but notices."""
+    text = lambda name: " ".join((scan.TEXTS / f"{name}.txt").read_text().split())
+    code = "".join(f"function f{n}(a,b){{return a+b*{n}}};" for n in range(2_000))
+    header = dict((n, t) for n, t in scan.HEADERS if n == "GPL-3.0")["GPL-3.0"]
+    rows = {
+        "m.min.js": (f"/*! {text('MIT')} */ {code}", "MIT"),
+        "e.min.js": (f"{code} /* {text('MIT')} */ {code}", "MIT"),
+        "g.min.js": (f"var a=1; {code} /* {header} */ {code}", "GPL-3.0"),
+        "blob.txt": ("x" * 100_000 + " Released under the MIT License. " + "y" * 100_000, "MIT"),
+        "plain.min.js": (code * 3, None),
+        "many.txt": ("Released under the MIT License.\n" * 3_000, "MIT"),
+    }
+    files = spark.createDataFrame([(p, t) for p, (t, _) in rows.items()], "path string, text string")
+    assert {r.path: r.license for r in scan.licences(files).collect()} == {p: name for p, (_, name) in rows.items()}
+
+
+def test_passages_against_brute_force(spark):
+    """Cosines of whole files and of one-notice windows in plain Python."""
+    files = [(p, t) for p, t in FILES if t] + [("w.c", "/*\n * Licensed under the Apache License, Version 2.0 (the License);\n * you may not use this file\n */\nint x;")]
+    references = {}
+    for name, number, term, weight, idf in scan._references():
+        references.setdefault((number, name), {})[term] = (weight, idf)
+    rarity = {t: idf for terms_ in references.values() for t, (_, idf) in terms_.items()}
+    rare = scan._rarity(len(references), 0)
+
+    def best(text):
+        vector = {t: n * rarity.get(t, rare) for t, n in Counter(terms(text)).items()}
+        size = math.sqrt(sum(x * x for x in vector.values()))
+        scored = [(-round(sum(w * r[t][0] for t, w in vector.items() if t in r) / size, 6), name) for (_, name), r in references.items()] if size else []
+        return min((s for s in scored if -s[0] >= scan.LIKE), default=None)
+
+    def bare(text):
+        return [x for x in re.split(r"[\r\n]+", re.sub(r"(?m)^[\s#*/;!%>-]+|[\s*/>-]+$", "\n", text))]
+
+    wanted = {}
+    for path, text in files:
+        lines = bare(text)
+        joined = " ".join(lines)
+        hits = [i for i, x in enumerate(lines) if re.search(scan.PASSAGE, x)]
+        if not re.search(scan.PASSAGE, text):
+            continue
+        windows = [(True, joined)] + [(False, " ".join(lines[max(i - a, 0) : max(i - a, 0) + a + b + 1])) for i in hits for a, b in scan.LINES]
+        for whole, window in windows:
+            like = best(window)
+            if like:
+                wanted.setdefault((path, like[1], whole), set()).add(-like[0])
+    found = {}
+    for r in scan.passages(spark.createDataFrame(files, "path string, text string")).collect():
+        found.setdefault((r.path, r.license, r.whole), set()).add(r.similarity)
+    # Sentences and word windows add more; every line window and whole file must be there with its cosine.
+    for key, values in wanted.items():
+        assert key in found
+        for v in values:
+            assert min(abs(v - f) for f in found[key]) < 2e-5
+
+
 def test_all_folders_above_pass_on(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     deep = "/".join(f"d{n}" for n in range(50))

@@ -40,6 +40,14 @@ def test_stages(spark, folder):
     assert spoken.columns == docs.columns
     assert spoken.count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
 
+    # Labels stay, those that lack get the language found.
+    unlabelled = docs.withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.col("lang")))
+    told = {r.doc_id: r.lang for r in docs.collect()}
+    found = stage("language")(spark, unlabelled, folder).collect()
+    long = [r for r in found if len(r.text) > 200]
+    assert sum(r.lang == told[r.doc_id] for r in long) > 0.95 * len(long) and all(r.lang for r in found)
+    assert all(r.lang == told[r.doc_id] for r in found if r.doc_id % 3)
+
     rows = {r.doc_id: r.text for r in spoken.collect()}
     single = {r.doc_id for r in stage("exact")(spark, spoken, folder).collect()}
     classes = {}
