@@ -10,7 +10,6 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from bazaarflow.llm import language, packing, pii, set_join
 from bazaarflow.llm.exact_index import exact_copies
@@ -19,19 +18,23 @@ from bazaarflow.sources.tables import table
 
 #: Near copies share this part, above / below, of their shingles of so many words.
 WORDS, ABOVE, BELOW = 5, 80, 100
+#: Rows of two numbers that are broadcast.
+SMALL = 250_000
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: null texts and texts without a letter.
 
-    Learns from the labelled documents that are not held out. Short or mixed texts get
-    their nearest language and stay. An empty table stays empty.
+    Learns from the labelled documents that are not held out. Documents that lack a label get the
+    language found; short or mixed texts have their nearest one and stay. An empty table stays empty.
     """
     parser = language.train(docs.where(~language.held_out()))
     found = language.detect(docs, parser, names=("__lang", "__score"))
     # Without labels nothing can be told, then letters alone decide.
-    spoken = F.col("__lang") != language.UNDETERMINED if parser else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.where(spoken).select(docs.columns)
+    known = F.when(F.col("__lang") != language.UNDETERMINED, F.col("__lang"))
+    spoken = known.isNotNull() if parser else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    label = F.coalesce(F.col("lang"), known).cast(docs.schema["lang"].dataType)
+    return found.where(spoken).withColumn("lang", label).select(docs.columns)
 
 
 def one_of_equal_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,14 +62,23 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id and text were decided to stay; of repeated rows one."""
+    """Rows of ``docs`` whose id and text were decided to stay; of repeated rows one.
+
+    Only ids and hashes of what goes, or is there several times, are brought to the texts:
+    to where they lie as long as these are few.
+    """
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    stays = decided.where("kept").select(number.alias("__id"), F.col("same_text").alias("__same")).distinct()
+    told = decided.groupBy(number.alias("__id"), F.col("same_text").alias("__same"))
+    told = told.agg(F.max("kept").alias("__stays"), F.count(F.lit(1)).alias("__n"))
+    special = written(told.where(~F.col("__stays") | (F.col("__n") > 1)), "decided")
+    if special.count() <= SMALL:
+        special = F.broadcast(special)
+    key = ["__id", "__same"]
     keyed = docs.withColumn("__id", number).withColumn("__same", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    # The join has dealt the rows by id and text already; only repeated rows compete.
-    first = Window.partitionBy("__id", "__same").orderBy("__same")
-    joined = keyed.join(stays, ["__id", "__same"], "left_semi")
-    return joined.withColumn("__n", F.row_number().over(first)).where(F.col("__n") == 1).select(docs.columns)
+    plain = keyed.join(special.select(*key), key, "left_anti").select(docs.columns)
+    # Tasks keep one of equal rows before the shuffle.
+    repeated = keyed.join(special.where("__stays").select(*key), key, "left_semi").dropDuplicates(key)
+    return plain.unionByName(repeated.select(docs.columns))
 
 
 STAGES = [
