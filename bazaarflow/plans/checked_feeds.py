@@ -11,16 +11,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarflow.functions.text import decode_entities
 from bazaarflow.operators import counts, dedup, parse
 from bazaarflow.operators.kept import KeptFacets
 from bazaarflow.plans import example_listings as example
 from bazaarflow.plans.checked import FIELDS, FILLED, PRICE, checked, over_listings
-from bazaarflow.plans.feeds import store_feed_by_state, store_merged_feeds
+from bazaarflow.plans.feeds import store_feed_by_state, store_feed_counted, store_merged_feeds
 from bazaarflow.schema import FEED_A, FEED_B, KEY, LISTING_FIELDS
 from bazaarflow.sources.polled import polls, store_fetch
 from bazaarflow.sources.scratch import working_folder
 from bazaarflow.sources.streams import open_files
 from bazaarflow.sources.tables import table
+from bazaarflow.streaming.committed import CommittedTarget
 from bazaarflow.streaming.insert import state_settings
 from bazaarflow.streaming.seen import stream_dedup_counted
 from bazaarflow.streaming.targets import LakeTarget
@@ -199,6 +201,18 @@ def kept_totals(spark, folder):
     return out
 
 
+@checked("select doc_id, text from documents where text is not null")
+def entities(spark, folder):
+    """Whole texts with their signs and letters written as references of every kind, decoded again."""
+    docs = table(spark, folder, "documents").where("text is not null")
+    told = F.replace("text", F.lit("&"), F.lit("&amp;"))
+    for sign, reference in (("é", "&eacute;"), ("ü", "&#252;"), ("ß", "&#xDF;"), ("ñ", "&#Xf1;"), ("<", "&LT;"), ("ö", "&ouml;"), ("$", "&dollar;")):
+        told = F.replace(told, F.lit(sign), F.lit(reference))
+    # Old names need no semicolon, unless one follows in the text.
+    told = F.regexp_replace(told, "ó(?!;)", "&oacute")
+    return docs.select("doc_id", decode_entities(told).alias("text"))
+
+
 # --- keys under another collation ---------------------------------------------------
 
 _CASES = "case when listing_no % 3 = 0 then upper(url) when listing_no % 3 = 1 then replace(url, 'example', 'Example') else url end"
@@ -292,3 +306,16 @@ def stream_state_batches(spark, folder):
         batches.run(lambda stream: store_feed_by_state(
             parse.to_messages(stream, FEED_A), FEED_A, target, place, every=None, other_writers=False))
     return target.read(spark).select(*LISTING_FIELDS)
+
+
+@checked(over_listings(f"select {FIELDS} from final", _FIRST_BATCH))
+def stream_counted_feed(spark, folder):
+    """A feed whose seen-set forgets, into a store: what passes again is found there, so the rows are the same."""
+    batches = Batches(spark, folder)
+    target = CommittedTarget(working_folder(spark, "store"), buckets=8).create(spark)
+    place = working_folder(spark, "checkpoint")
+    with _rocksdb(spark):
+        batches.run(lambda stream: store_feed_counted(
+            parse.to_messages(stream, FEED_A), FEED_A, target, place, every=None, limit=50, keep=10, parts=4))
+    return target.read(spark).select(*LISTING_FIELDS)
+

@@ -14,6 +14,7 @@ from bazaarflow.operators.html_items import extract_items
 from bazaarflow.operators.parse import parse_messages, to_messages
 from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS, Feed, Site
 from bazaarflow.streaming.insert import Target, start_insert, storable
+from bazaarflow.streaming.seen import PARTS, stream_dedup_counted
 
 
 def payload_messages(payloads: DataFrame, site: Site, **options) -> DataFrame:
@@ -67,6 +68,26 @@ def store_feed_by_state(
     return start_insert(once, target, f"{feed.name}_by_state", checkpoint, every, against)
 
 
+def store_feed_counted(
+    raw: DataFrame,
+    feed: Feed,
+    target: Target,
+    checkpoint: str,
+    every: str | None = "10 seconds",
+    limit: int = 10_000,
+    keep: int = 5_000,
+    parts: int = PARTS,
+) -> StreamingQuery:
+    """As above with a seen-set that never outgrows its limit.
+
+    What it forgot passes again, so every batch is compared with the stored keys; the seen-set
+    keeps most copies away from that.
+    """
+    fitting = parse_messages(raw, feed).where(storable()).select(*LISTING_FIELDS)
+    once = stream_dedup_counted(fitting, limit=limit, keep=keep, parts=parts)
+    return start_insert(once, target, f"{feed.name}_counted", checkpoint, every)
+
+
 def store_merged_feeds(
     raw_a: DataFrame,
     raw_b: DataFrame,

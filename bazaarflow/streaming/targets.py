@@ -238,11 +238,22 @@ class JdbcTarget:
         named.write.format("jdbc").options(**self.write_options()).mode("append").save()
 
     def set_aside(self, rejects: DataFrame, rows: int, writer: str, batch_id: int) -> None:
-        """Rejected rows go to a table beside the target; a repeated batch adds them again."""
-        named = rejects.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
+        """Rejected rows go to a table beside the target, which ``rejected_ddl`` makes.
+
+        A repeated batch adds what its first attempt didn't.
+        """
+        there = rejects.sparkSession.read.format("jdbc").options(**self.rejected_options(writer, batch_id)).load()
+        missing = rejects.select("record", "reason").exceptAll(there.select("record", "reason"))
+        named = missing.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id)})
         options = {**self.write_options(), "dbtable": f"{self.table}_rejected"}
         named.write.format("jdbc").options(**options).mode("append").save()
 
+    def rejected_options(self, writer: str, batch_id: int) -> dict[str, str]:
+        """The rows that an earlier attempt at the batch left; the database chooses them."""
+        name = writer.replace("'", "''")
+        query = f"select record, reason from {self.table}_rejected where writer = '{name}' and batch_id = {int(batch_id)}"
+        return {**self.options, "query": query}
+
     def finish(self, report: Row, categories: DataFrame, writer: str, batch_id: int) -> None:
         """The database keeps no batch log."""
 
@@ -264,3 +275,8 @@ def table_ddl(table: str) -> str:
         lines.append(f"{WIRE_NAMES[name]} {kind}" + (" UNIQUE" if name == KEY else ""))
     lines.append("created_at TIMESTAMP DEFAULT CURRENT_TIMESTAMP")
     return f"CREATE TABLE IF NOT EXISTS {table} (\n  " + ",\n  ".join(lines) + "\n)"
+
+
+def rejected_ddl(table: str) -> str:
+    """Table for rejected rows beside the target."""
+    return f"CREATE TABLE IF NOT EXISTS {table}_rejected (\n  record TEXT,\n  reason VARCHAR(500),\n  writer VARCHAR(64),\n  batch_id BIGINT\n)"

@@ -1,8 +1,13 @@
 """Bounded memory of keys, polled fetches, kept facets, keys in other spellings: small cases."""
 
+import random
+from html import unescape
+from html.entities import html5
+
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarflow.functions.text import decode_entities
 from bazaarflow.operators import counts, dedup
 from bazaarflow.operators.kept import KeptFacets, partial_totals, united_totals
 from bazaarflow.plans.checked_feeds import _rocksdb
@@ -112,6 +117,18 @@ def test_collated_keys(spark):
     assert sorted(r.url for r in dedup.drop_known_collated(rows, stored, collation="UNICODE_CI_AI").collect()) == ["A", "a"]
 
 
+def test_entities_are_the_library_s(spark):
+    """Every name, odd numbers and broken references, against the reader that builds the element tree."""
+    rng = random.Random(5)
+    texts = [f"a&{name}b &{name} &{name}" for name in html5]
+    texts += [f"&#{n};&#{n} &#x{n:x};&#X0{n:X}z" for n in (0, 1, 9, 13, 31, 127, 128, 150, 159, 160, 233, 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0xFFFF, 0x1F600, 0x10FFFF, 0x110000, 10**9, 10**30)]
+    pieces = ["&", "#", ";", "amp", "lt", "x41", "#65", "#x", "notit", "not", "é", " ", "\n", "Aacute", "&amp;", "=", "1", "CounterClockwiseContourIntegral"]
+    texts += ["".join(rng.choices(pieces, k=rng.randint(0, 8))) for _ in range(400)] + ["&" * 5000, "&" + "a" * 100 + ";"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    for r in rows.select("n", decode_entities(F.col("text")).alias("out")).collect():
+        assert r.out == unescape(texts[r.n]), texts[r.n][:100]
+
+
 def test_sketches_unite(spark):
     rows = spark.range(20_000).selectExpr("cast(id % 6000 as string) as url", "id % 4 as batch")
     parts = [counts.key_sketch(rows.where(F.col("batch") == n)) for n in range(4)]

@@ -19,7 +19,14 @@ from bazaarflow.sources.streams import open_files
 from bazaarflow.sources.tables import table_stream
 from bazaarflow.streaming import insert as insert_module
 from bazaarflow.streaming.insert import insert_new, start_insert, state_settings
-from bazaarflow.streaming.targets import JdbcTarget, LakeTarget, column_types, table_ddl, with_ids
+from bazaarflow.streaming.targets import (
+    JdbcTarget,
+    LakeTarget,
+    column_types,
+    rejected_ddl,
+    table_ddl,
+    with_ids,
+)
 
 SCHEMA = ", ".join(f"{n} {'bigint' if n == 'scraped_at' else 'string'}" for n in LISTING_FIELDS)
 
@@ -292,6 +299,8 @@ def test_relational_target_options():
     ddl = table_ddl("ads")
     assert "url VARCHAR(768) UNIQUE" in ddl and "titre TEXT" in ddl and "AUTO_INCREMENT" in ddl
     assert "prix VARCHAR(50)" in column_types()
+    assert target.rejected_options("o'x", 3)["query"] == "select record, reason from ads_rejected where writer = 'o''x' and batch_id = 3"
+    assert "ads_rejected" in rejected_ddl("ads") and "batch_id BIGINT" in rejected_ddl("ads")
 
 
 @pytest.mark.parametrize("small, limit", [(True, 10), (True, 1), (False, 10)])
