@@ -18,6 +18,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarflow.functions.text import let
 from bazaarflow.llm.tasks import written
 
 # Short notices of common licences under their usual identifiers.
@@ -87,25 +88,25 @@ def notices(files: DataFrame, text: str = "text", path: str = "path") -> DataFra
     found = files.where(F.col(text).rlike(NOTICE)).select(
         F.col(path).alias("path"), F.explode(F.filter(F.split(F.col(text), r"\R", -1), lambda x: x.rlike(NOTICE))).alias("line")
     )
-    lines = written(found, "notices")
+    lines = written(found.withColumn("unit", F.md5("line")), "notices")
     # Different lines first: a notice that a third of all files carry is compared once.
-    kinds = lines.select("line").distinct()
+    kinds = lines.select("unit", "line").dropDuplicates(["unit"])
     templates = _templates(spark)
     total = kinds.count()
-    counted = kinds.select("line", F.explode(_terms(F.col("line"))).alias("term")).groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"))
+    counted = kinds.select("unit", F.explode(_terms(F.col("line"))).alias("term")).groupBy("unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     often = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # The terms of the templates, at most a few hundred, with their weights.
     idf = F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
     known = templates.join(often, "term", "left").select("license", "term", (F.col("t_tf") * idf).alias("t"))
     length = known.groupBy("license").agg(F.sqrt(F.sum(F.col("t") * F.col("t"))).alias("t_length"))
-    weighted = counted.join(often, "term").select("line", "term", (F.col("tf") * idf).alias("w"))
-    own = weighted.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("w_length"))
-    both = weighted.join(F.broadcast(known), "term").groupBy("line", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
+    weighted = counted.join(often, "term").select("unit", "term", (F.col("tf") * idf).alias("w"))
+    own = weighted.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("w_length"))
+    both = weighted.join(F.broadcast(known), "term").groupBy("unit", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot"))
     like = F.col("dot") / (F.col("w_length") * F.col("t_length"))
-    scored = both.join(F.broadcast(length), "license").join(own, "line").select("line", "license", F.round(like, 6).alias("similarity"))
-    best = scored.groupBy("line").agg(F.max(F.struct("similarity", _reversed_name(F.col("license")).alias("order"), "license")).alias("best"))
+    scored = both.join(F.broadcast(length), "license").join(own, "unit").select("unit", "license", F.round(like, 6).alias("similarity"))
+    best = scored.groupBy("unit").agg(F.max(F.struct("similarity", _reversed_name(F.col("license")).alias("order"), "license")).alias("best"))
     chosen = best.where(F.col("best.similarity") >= LIKE)
-    return lines.join(chosen, "line").select("path", "line", F.col("best.license").alias("license"), F.col("best.similarity").alias("similarity"))
+    return lines.join(chosen, "unit").select("path", "line", F.col("best.license").alias("license"), F.col("best.similarity").alias("similarity"))
 
 
 def _reversed_name(license_: Column) -> Column:
@@ -146,16 +147,17 @@ def passages(files: DataFrame, text: str = "text", path: str = "path") -> DataFr
     bare = some.withColumn("lines", F.split(F.regexp_replace("text", r"(?m)^[\s#*/;!%>-]+|[\s*/>-]+$", "\n"), r"\R+", -1))
     cut = F.transform("lines", lambda x: F.when(F.length(x) > LONG, F.regexp_extract_all(F.regexp_replace(x, NO_WORD, " "), F.lit(CUT), F.lit(0))).otherwise(F.array(x)))
     bare = bare.withColumn("given", F.size("lines")).withColumn("lines", F.flatten(cut))
-    lines = F.col("lines")
-    # A notice may lie over two of the lines that a long one was cut into.
-    over = lambda i: F.array_join(F.slice(lines, i + 1, F.lit(2)), " ").rlike(PASSAGE)
-    starts = F.transform(lines, lambda x, i: F.when(x.rlike(PASSAGE) | ((F.size(lines) > F.col("given")) & over(i)), i))
+    # A notice may lie over two of the lines that a long one was cut into. Inside a loop
+    # the lines are bound, or they could be worked out again for each of them.
+    longer = F.size("lines") > F.col("given")
+    starts = let(F.col("lines"), lambda lines: F.transform(
+        lines, lambda x, i: F.when(x.rlike(PASSAGE) | (longer & F.array_join(F.slice(lines, i + 1, F.lit(2)), " ").rlike(PASSAGE)), i)))
     bare = bare.withColumn("at", F.filter(starts, lambda i: i.isNotNull())).withColumn("joined", F.array_join("lines", " "))
     bare = bare.select("path", "lines", "at", "joined")
 
     # One row per notice with the lines around it, however many notices a file has.
-    around = F.transform("at", lambda i: F.struct(
-        F.least(i, F.lit(BEFORE)).alias("i"), F.slice(lines, F.greatest(i - BEFORE, F.lit(0)) + 1, F.lit(AROUND)).alias("lines")))
+    around = let(F.col("lines"), lambda lines: F.transform("at", lambda i: F.struct(
+        F.least(i, F.lit(BEFORE)).alias("i"), F.slice(lines, F.greatest(i - BEFORE, F.lit(0)) + 1, F.lit(AROUND)).alias("lines"))))
     near = bare.select("path", F.explode(around).alias("n")).select("path", "n.i", "n.lines")
     windows = F.array(*[F.array_join(F.slice("lines", F.greatest(F.col("i") - a, F.lit(0)) + 1, F.lit(a + b + 1)), " ") for a, b in LINES])
     near = near.select("path", F.explode(F.array_distinct(windows)).alias("text"))
