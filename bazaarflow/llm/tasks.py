@@ -22,6 +22,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Remove a table that ``written`` made, once nothing is worked out from it any more."""
+    spark = table.sparkSession
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for file in table.inputFiles()[:1]:
+        place = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        place.getFileSystem(settings).delete(place, True)
+
+
 def let_go(spark: SparkSession) -> None:
     """Shuffles of frames that are out of use leave the disks now, not when the driver's memory next runs full."""
     gc.collect()

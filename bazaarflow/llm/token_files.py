@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from bazaarflow.llm.tasks import batches, kept, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, forget, kept, row_numbers, utf8, written
 from bazaarflow.llm.word_pieces import WordPieces
 
 END = 1
@@ -93,9 +93,8 @@ def write_tokens(encoded: DataFrame, folder: str, width: int = 4) -> DataFrame:
 
         def rows() -> Iterator[tuple]:
             for part in parts:
-                for doc, row, found in zip(*(part.column(c).to_pylist() for c in ("doc_id", "row", "ids")), strict=True):
-                    ids = np.frombuffer(found, f"<u{width}")
-                    yield doc, row, zlib.crc32(ids.astype("<u4")), len(ids), *pack_ranks(rank[ids])
+                docs, numbers, ids = (part.column(c).to_pylist() for c in ("doc_id", "row", "ids"))
+                yield from zip(docs, numbers, *zip(*_coded(ids, rank, width), strict=True), strict=True)
 
         columns = {"doc_id": pa.int64(), "row": pa.int64(), "crc": pa.int64(), "n": pa.int64(), "control": pa.binary(), "data": pa.binary()}
         return batches(columns, rows(), 1024)
@@ -105,9 +104,11 @@ def write_tokens(encoded: DataFrame, folder: str, width: int = 4) -> DataFrame:
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("crc"), F.col("row")]
     rows = written(encoded.mapInArrow(coded, "doc_id long, row long, crc long, n long, control binary, data binary"), "token-codes")
+    forget(encoded)
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     files = dealt.select("doc_id", "n", "control", "data").mapInArrow(stored, _MANIFEST)
     files.write.parquet(f"{folder}/manifest")
+    forget(rows)
     return manifest(encoded.sparkSession, folder)
 
 
@@ -148,6 +149,39 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), spread[np.arange(4) < width[:, None]].tobytes()
 
 
+def _coded(texts: list[bytes], rank: np.ndarray, width: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Checksum, count, control and rank bytes of each text's ids, about ``BLOCK`` ids at a time."""
+    at = 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and size < BLOCK:
+            size += len(texts[to]) // width
+            to += 1
+        some = texts[at:to]
+        ids = np.frombuffer(b"".join(some), f"<u{width}").astype("<u4")
+        counts = np.array([len(t) // width for t in some], np.int64)
+        ends = np.cumsum(counts)
+        places = -(-counts // 4) * 4
+        last = np.cumsum(places)
+        # Every text from a control byte of its own: its ids lie in fours, with the last places empty.
+        padded = np.zeros(int(last[-1]), np.uint32)
+        taken = np.zeros(len(padded), bool)
+        where = np.arange(len(ids)) + np.repeat(last - places - ends + counts, counts)
+        padded[where], taken[where] = rank[ids], True
+        bytes_of = 1 + (padded >= 1 << 8).astype(np.uint8) + (padded >= 1 << 16) + (padded >= 1 << 24)
+        fours = (bytes_of - 1).reshape(-1, 4)
+        control = (fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6).tobytes()
+        bytes_of[~taken] = 0
+        data = padded.view(np.uint8).reshape(-1, 4)[np.arange(4) < bytes_of[:, None]].tobytes()
+        whole = ids.tobytes()
+        stop = np.concatenate([[0], np.cumsum(bytes_of, dtype=np.int64)])[last].tolist()
+        begin = 0
+        for n, end, place, c, cut in zip(counts.tolist(), ends.tolist(), (last // 4).tolist(), (places // 4).tolist(), stop, strict=True):
+            yield zlib.crc32(whole[4 * (end - n) : 4 * end]), n, control[place - c : place], data[begin:cut]
+            begin = cut
+        at = to
+
+
 def unpack_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     """The ranks of texts with so many ids each, by a look-up of the widths of four at a time."""
     width = WIDTHS[np.frombuffer(control, np.uint8)].ravel()

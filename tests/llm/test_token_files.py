@@ -34,6 +34,17 @@ def test_ranks_round_trip(numbers):
     assert token_files.unpack_ranks(*both, np.array([len(p) for p in parts])).tolist() == numbers
 
 
+@pytest.mark.parametrize("block", [1 << 20, 5])
+def test_texts_are_coded_together_as_alone(monkeypatch, block):
+    monkeypatch.setattr(token_files, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    rank = rng.permutation(70_000).astype(np.uint32)
+    texts = [rng.integers(0, 2000 if n % 2 else 60_000, n % 11).astype("<u2") for n in range(60)]
+    found = list(token_files._coded([t.tobytes() for t in texts], rank, 2))
+    assert found == [(zlib.crc32(t.astype("<u4").tobytes()), len(t), *token_files.pack_ranks(rank[t])) for t in texts]
+    assert list(token_files._coded([], rank, 2)) == []
+
+
 def written(spark, docs, folder, width=4):
     listed = token_files.write_tokens(token_files.tokens(docs, PATH, width=width), folder, width)
     return listed, token_files.read_tokens(spark, folder).collect()
