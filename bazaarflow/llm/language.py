@@ -31,6 +31,8 @@ TOGETHER = 1_000_000
 LEAST = 500
 #: Characters of a block. A phrase ends at a block's end.
 BLOCK = 512
+#: Characters parsed at a time, at least one text.
+AT_ONCE = 1 << 20
 UNDETERMINED = "und"
 
 
@@ -268,7 +270,7 @@ def detect(docs: DataFrame, parser: Parser | None, text: str = "text", names: tu
             at = 0
             while at < len(texts):
                 to, size = at, 0
-                while to < len(texts) and size < 4 << 20:
+                while to < len(texts) and size < AT_ONCE:
                     size += len(texts[to])
                     to += 1
                 if model is None:
@@ -281,8 +283,9 @@ def detect(docs: DataFrame, parser: Parser | None, text: str = "text", names: tu
                 at = to
             yield pd.DataFrame({"lang": names, "score": np.concatenate(scores) if scores else []})
 
+    # Declared as not repeatable, so that filters and columns above don't each parse the texts again.
     found = "__predicted"
-    return docs.withColumn(found, predicted(F.col(text).cast("string"))).select(
+    return docs.withColumn(found, predicted.asNondeterministic()(F.col(text).cast("string"))).select(
         *[docs[c] for c in docs.columns if c not in names],
         F.col(f"{found}.lang").alias(names[0]),
         F.col(f"{found}.score").alias(names[1]),
