@@ -15,6 +15,13 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # One session runs all tests. The driver keeps the plans of finished queries, 1000 by default, some of
+        # which are thousands of nodes; with the default memory of 1 GB that ended the process half-way.
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.ui.retainedExecutions", "10")
+        .config("spark.ui.retainedJobs", "20")
+        .config("spark.ui.retainedStages", "20")
+        .config("spark.ui.retainedTasks", "200")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
