@@ -17,14 +17,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarflow.llm.tasks import batches, join_classes, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, give_back, join_classes, row_numbers, utf8, written
 
 BLANKS = b" \t\n\x0b\x0c\r"
 #: Texts in a bucket before it is split, and bits of a hash that one pass may use.
 CAPACITY = 10_000
 BITS = 18
 #: Bytes of packed texts that a scan task remembers to recognise repeats.
-REMEMBERED = 32 << 20
+REMEMBERED = 16 << 20
 
 
 def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -70,6 +70,7 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
 
 
 def _index_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    give_back()  # what earlier tasks of the worker needed
     numbers = row_numbers()
     pack = zstandard.ZstdCompressor(level=1).compress
     columns = {

@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarflow.llm.components import components
-from bazaarflow.llm.tasks import batches, join_classes, let_go, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, give_back, join_classes, let_go, row_numbers, utf8, written
 
 #: Bytes of text hashed at a time, index entries held by a task, documents on one side of a comparison.
-AT_ONCE = 2 << 20
-ENTRIES = 1_500_000
+AT_ONCE = 1 << 20
+ENTRIES = 750_000
 SIDE = 256
 #: Rows of two numbers that are broadcast.
 SMALL = 250_000
@@ -278,6 +278,7 @@ def similar_components(
     )
 
     def measured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what earlier tasks of the worker needed
         numbers = row_numbers()
         for part in parts:
             sets = _in_parts(utf8(part.column("text")), words)
@@ -337,6 +338,7 @@ def _shared_entries(rows: DataFrame, words: int, above: int, below: int, counts:
     """
 
     def indexed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         bands = Bands(above, below, counts)
         held: list[tuple[np.ndarray, int]] = []
         seen: set[int] = set()
