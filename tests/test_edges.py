@@ -1,6 +1,7 @@
 """Edge cases on small literal frames."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from bazaarflow.functions.dates import is_recent
 from bazaarflow.functions.text import price_number, shown_image, shown_price, source_key
 from bazaarflow.functions.urls import resolve_image, resolve_url
-from bazaarflow.operators import clean, counts, dedup, flatten, html_items, parse, serve
+from bazaarflow.operators import clean, counts, dedup, flatten, html_items, page_tree, parse, serve
+from bazaarflow.plans import example_listings
 from bazaarflow.schema import FEED_A, FEED_B, LISTING_FIELDS, Site
 from bazaarflow.sources.streams import topic_options
 from bazaarflow.sources.tables import pages as category_pages
@@ -389,3 +391,36 @@ def test_topic_options():
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
         "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10", "minPartitions": "64",
     }
+
+
+def _tree(node):
+    """The tree in values, each piece of text by itself."""
+    inner = [c if isinstance(c, str) else ("comment", c.text) if isinstance(c, page_tree.Comment) else _tree(c) for c in node.children]
+    return node.tag, list(node.attributes.items()), node.classes, inner
+
+
+def test_plain_pages_give_the_parser_s_tree():
+    """Pages of odd and plain pieces, against the library's parser; plain ones never meet it."""
+    rng = random.Random(3)
+    pieces = [
+        "<ul>", "</ul>", "<li class=\"a b\">", "</li>", "<li>", "<br>", "<br/>", "<img class=\"lazy\" src=\"x\" />", "<p id=\"a&amp;b\">", "<p id=\"a&lt;b\">", "<a href=\"\">", "<a href>", "<a href=x>",
+        "</a>", "</p>", "</b >", "<B>", "</B>", "<!-- c -->", "<!---->", "<!-->", "<!--a--->", "<!-- a-b -->", "<!DOCTYPE html>", "<!x>", "<?p?>", "<![if x]>", "a", " b ", "&amp;", "&am", "&notit;", "&", "é", "<", ">", "\"",
+        "\n", "<script>", "</script>", "<script>var t=\"<ul><li>no</li></ul>\";</script>", "<script>a<!-- </script>", "<style>p{}</style>", "</style>", "</SCRIPT>", "<title>t &amp; u</title>", "<title>", "</title>", "<textarea>", "</textarea>",
+        "<a href=\"x\"title=\"y\">", "<a\nclass=\"c\"\t>", "<a class=\"c\" class=\"d\">", "<div/>", "<div>", "</div>", "<x-y>", "<h3> T</h3>", "</", "</>", "<script src=\"s\"></script>", "<style/>", "<p id=\"a>b\">", "\r\n", "\x00",
+    ]
+    plain = 0
+    for n in range(6000):
+        html = "".join(rng.choices(pieces, k=rng.randint(0, 3 + n % 9)))
+        fast = page_tree._read_plain(html)
+        builder = page_tree._Builder()
+        builder.feed(html)
+        builder.close()
+        plain += fast is not None
+        assert fast is None or _tree(fast) == _tree(builder.root), html
+    assert plain > 500
+
+
+def test_site_pages_are_plain(spark, folder):
+    """The pages that the queries read need no general parser, whose time decides the largest runs."""
+    made = example_listings.item_pages(example_listings.listings(spark, folder)).limit(5).collect()
+    assert made and all(page_tree._read_plain(r.html) is not None for r in made)
