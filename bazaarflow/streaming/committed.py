@@ -295,8 +295,10 @@ class Transaction:
             dealt = numbered.withColumn("bucket", F.lit(None).cast("int")).coalesce(1).sortWithinPartitions(KEY)
         else:
             bucketed = numbered.withColumn("bucket", bucket_of(F.col(KEY), self.snapshot.buckets))
-            dealt = bucketed.repartitionByRange(-(-rows // ROWS_PER_FILE), "bucket", KEY).sortWithinPartitions("bucket", KEY)
-        self.added = self.target._write(dealt, writer, batch_id, min(rows, ROWS_PER_FILE))
+            # Large batches are written by many tasks; compaction makes their files larger.
+            files = -(-rows // SMALL_BATCH)
+            dealt = bucketed.repartitionByRange(files, "bucket", KEY).sortWithinPartitions("bucket", KEY)
+        self.added = self.target._write(dealt, writer, batch_id, min(rows, SMALL_BATCH))
         return start + rows
 
     def set_aside(self, rejects: DataFrame, rows: int, writer: str, batch_id: int) -> None:

@@ -4,15 +4,17 @@ import random
 from html import unescape
 from html.entities import html5
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarflow.functions.text import decode_entities
 from bazaarflow.operators import counts, dedup
 from bazaarflow.operators.kept import KeptFacets, partial_totals, united_totals
+from bazaarflow.plans import checked_feeds
 from bazaarflow.plans.checked_feeds import _rocksdb
 from bazaarflow.sources.polled import FetchReader, polls, store_fetch
-from bazaarflow.streaming.seen import require_rocksdb, stream_dedup_counted
+from bazaarflow.streaming.seen import _SeenKeys, require_rocksdb, stream_dedup_counted
 
 LISTING = "source string, category string, subcategory string, title string, price_text string, location string, url string, image_url string, date_text string, scraped_at long"
 
@@ -39,6 +41,60 @@ def test_counted_dedup_forgets_the_oldest(spark, tmp_path):
         assert state.count() == 3
 
 
+class _Messages:
+    """A list state that counts the accesses to it."""
+
+    def __init__(self):
+        self.values, self.sent = [], 0
+
+    def getListState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return bool(self.values)
+
+    def get(self):
+        self.sent += 1
+        return iter(self.values)
+
+    def appendList(self, values):  # noqa: N802
+        self.sent += 1
+        self.values += values
+
+    def put(self, values):
+        self.sent += 1
+        self.values = values
+
+
+def test_counted_dedup_asks_the_state_once_per_batch():
+    """However many keys a batch has; of rows with one key the first by the order passes."""
+    state, seen = _Messages(), _SeenKeys("url", ["n"], limit=1500, keep=700, columns=["url", "n"])
+    seen.init(state)
+    for first, new, held in ((0, 1000, 1000), (0, 0, 1000), (500, 500, 1500), (1200, 700, 700)):
+        keys = [f"{k:06d}" for k in range(first, first + 1000)]
+        rows = pd.DataFrame({"url": keys + keys, "n": [*range(1000, 2000), *range(1000)]})
+        out = pd.concat(seen.handleInputRows((0,), iter([rows[:900], rows[900:]]), None))
+        assert (len(out), len(state.values)) == (new, held)
+        assert (out["n"] < 1000).all()
+    assert state.sent <= 8
+
+
+def test_batches_are_dealt_into_files(spark, tmp_path, monkeypatch):
+    """No file holds a whole batch of a large table, and a batch without rows doesn't mix with the next."""
+    monkeypatch.setattr(checked_feeds, "ROWS_PER_FILE", 50)
+    rows = spark.range(600).selectExpr("id as listing_no", "cast(id as string) as url").where("listing_no % 6 <> 1")
+    batches, seen = checked_feeds.Batches(spark, "", rows, each=lambda part: part.where("listing_no < 594")), []
+
+    def start(stream):
+        note = lambda batch, n: seen.append(sorted(r.listing_no for r in batch.collect()))
+        return stream.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+
+    batches.run(start)
+    assert seen == [[n for n in range(594) if n % 6 == b and b != 1] for b in range(6)]
+    files = spark.read.parquet(batches.place).groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 10 and max(r["count"] for r in files) <= 60
+
+
 def test_counted_dedup_needs_its_store(spark):
     with pytest.raises(ValueError, match="RocksDB"):
         require_rocksdb(spark)
