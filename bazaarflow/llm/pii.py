@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from bazaarflow.functions.text import let
 
-#: Documents (chosen by a hash of their texts) that the trees learn from, rounds, and the precision a threshold must reach.
-LEARNED = 20_000
+#: Rounds of the trees, and the precision a threshold must reach.
 ROUNDS = 24
 RATE = 0.4
 PRECISION = 0.97
@@ -283,28 +282,28 @@ def _looser(kind: Column, match: Column) -> Column:
     return out
 
 
-def train(docs: DataFrame, text: str = "text", learned: int = LEARNED) -> Trees | None:
+def train(docs: DataFrame, text: str = "text") -> Trees | None:
     """Learns which candidates look like personal data.
 
     Base spans are rewritten into looser forms where they stand. A candidate that
     is exactly such a form counts as data of its kind; candidates of other kinds
     there, and all in forms that only look alike, as none. Candidates elsewhere have no label and
-    are left out. About ``learned`` documents are used, chosen by a hash of
-    their texts; equal feature values are counted together by Spark, so what
+    are left out. All documents are used. Base spans with equal surroundings are rewritten once,
+    and equal feature values are counted together by Spark, so what
     is fitted is a table of counts. None when there is nothing to learn from.
     """
     texts = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    every = max(1, texts.count() // max(1, learned))
-    texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).where(F.col("text").rlike("[0-9@]"))
+    texts = texts.where(F.col("text").rlike("[0-9@]"))
     spans = texts.select("text", F.explode(base_spans(F.col("text"))).alias("s"))
     near = spans.select(
         F.col("s.kind").alias("kind"), F.expr("substring(text, s.start + 1, s.end - s.start)").alias("match"),
         F.expr(f"substring(text, greatest(s.start - {CONTEXT}, 0) + 1, least(s.start, {CONTEXT}))").alias("before"), F.expr("substring(text, s.end + 1, 8)").alias("after"),
     )
+    near = near.groupBy("kind", "match", "before", "after").agg(F.count(F.lit(1)).alias("n"))
     near = near.withColumn("fits", F.xxhash64("match", F.lit(1)) % 2 == 0).withColumn("f", F.explode(_looser(F.col("kind"), F.col("match"))))
     start = F.length("before")
     made = near.select(
-        "kind", "fits", F.col("f.true").alias("true"), start.alias("start"), (start + F.length("f.form")).alias("end"),
+        "kind", "fits", "n", F.col("f.true").alias("true"), start.alias("start"), (start + F.length("f.form")).alias("end"),
         F.explode(candidates(F.concat("before", "f.form", "after"))).alias("c"),
     )
     own = F.col("c.kind") == F.col("kind")
@@ -315,9 +314,10 @@ def train(docs: DataFrame, text: str = "text", learned: int = LEARNED) -> Trees
     true = F.col("true") & exact
     counts = (
         seen.groupBy("fits", *[F.col(f"c.{f}").alias(f) for f in FEATURES])
-        .agg(F.sum(true.cast("long")).alias("yes"), F.count(F.lit(1)).alias("all"))
+        .agg(F.sum(F.when(true, F.col("n")).otherwise(0)).alias("yes"), F.sum("n").alias("all"))
         .collect()  # one row per combination of bins
     )
+    counts.sort(key=str)  # sums of floats depend on their order
     if not counts:
         return None
     values = np.array([[r[f] for f in FEATURES] for r in counts])

@@ -77,6 +77,16 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
+def test_trees_learn_from_every_document(spark):
+    """Texts without personal data, however many, take nothing away from what is learned; copies count as often as they come."""
+    docs = labelled(spark)
+    more = docs.unionByName(spark.range(1000, 42_000).selectExpr("id as doc_id", "concat('plain ', id) as text"))
+    assert pii.train(more) == pii.train(docs)
+    once, some = docs.where("doc_id < 300"), docs.where("doc_id >= 300")
+    thrice = once.unionByName(some).unionByName(some).unionByName(some)
+    assert pii.train(thrice) != pii.train(docs)
+
+
 def test_trees_select_candidates(spark):
     docs = labelled(spark)
     trees = pii.train(docs)
