@@ -300,6 +300,8 @@ def train(docs: DataFrame, text: str = "text") -> Trees | None:
         F.expr(f"substring(text, greatest(s.start - {CONTEXT}, 0) + 1, least(s.start, {CONTEXT}))").alias("before"), F.expr("substring(text, s.end + 1, 8)").alias("after"),
     )
     near = near.groupBy("kind", "match", "before", "after").agg(F.count(F.lit(1)).alias("n"))
+    # Few bytes, but much work for each: adaptive execution would put them into one task.
+    near = near.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     near = near.withColumn("fits", F.xxhash64("match", F.lit(1)) % 2 == 0).withColumn("f", F.explode(_looser(F.col("kind"), F.col("match"))))
     start = F.length("before")
     made = near.select(
