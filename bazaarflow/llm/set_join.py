@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import product
 
 import numpy as np
@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarflow.llm.components import components
-from bazaarflow.llm.tasks import batches, give_back, join_classes, let_go, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, give_back, join_classes, let_go, row_numbers, slices, utf8, written
 
 #: Bytes of text hashed at a time, index entries held by a task, documents on one side of a comparison.
-AT_ONCE = 1 << 20
-ENTRIES = 750_000
+AT_ONCE = 256 << 10
+ENTRIES = 400_000
 SIDE = 256
+#: Rows of cells that get their texts in one round: so many, or so many for every text.
+ROUND, PER_TEXT = 100_000, 2
 #: Rows of two numbers that are broadcast.
 SMALL = 250_000
 #: For the cost of a partition: the chance that unrelated texts share a shingle, and the price of a comparison in index entries.
@@ -280,7 +282,7 @@ def similar_components(
     def measured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()  # what earlier tasks of the worker needed
         numbers = row_numbers()
-        for part in parts:
+        for part in (few for whole in parts for few in slices(whole)):
             sets = _in_parts(utf8(part.column("text")), words)
             found = [(len(s), _digest(s) if len(s) else None, profile(s) if len(s) else None) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -354,7 +356,7 @@ def _shared_entries(rows: DataFrame, words: int, above: int, below: int, counts:
             table = pa.table({"entry": entry, "digest": digest, "near": pa.array(near, mask=near == digest)})
             yield from table.to_batches(65_536)
 
-        for part in parts:
+        for part in (few for whole in parts for few in slices(whole)):
             for shingles in _in_parts(utf8(part.column("text")), words):
                 if not len(shingles) or (digest := _digest(shingles)) in seen:
                     continue
@@ -390,7 +392,7 @@ def _texts_of(rows: DataFrame, filled: DataFrame, nodes: DataFrame, words: int)
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for part in parts:
+        for part in (few for whole in parts for few in slices(whole)):
             texts = utf8(part.column("text"))
             digests = [_digest(s) if len(s) else None for s in _in_parts(texts, words)]
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(map(pack, texts), pa.binary())], ["digest", "body"])
@@ -435,25 +437,42 @@ def _possible(pairs: DataFrame, profiles: DataFrame, above: int, below: int) ->
 
 
 def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int) -> DataFrame:
-    """Those rows of the cells for which profiles leave a possible link to another component in the same cell.
+    """Comparisons that profiles leave possible between different components of a cell.
 
-    Rows, not pairs, come out, so the result is no larger than the cells are.
+    A cell falls into parts between which no pair is possible. A part with no more pairs than rows gives these
+    pairs, of other parts the rows stay, so the result is no larger than the cells are. Pairs, and parts with
+    the same sets, are compared once, however many entries they share.
     """
     let_go(profiles.sparkSession)
     rows = cells.join(profiles, "digest").repartition("cell").sortWithinPartitions("cell", "digest")
 
     def found(held: list[tuple]) -> Iterator[tuple]:
-        _, _, sides, roots, sizes, profiles_ = zip(*held, strict=True)
+        _, digests, sides, roots, sizes, profiles_ = zip(*held, strict=True)
         matrix, sizes, roots = _folded(profiles_), np.array(sizes), np.array(roots)
         right = np.array([n for n, side in enumerate(sides) if side & 2], np.int64)
-        stays = np.zeros(len(held), bool)
+        group = np.arange(len(held))
+        links: dict[int, np.ndarray] = {}
         for n in (n for n, side in enumerate(sides) if side & 1):
             apart = np.abs(matrix[right] - matrix[n]).sum(1)
             others = right[_can_link(sizes[n], sizes[right], apart, above, below) & (roots[right] != roots[n])]
-            stays[others] = True
-            stays[n] |= len(others) > 0
-        for n in np.flatnonzero(stays).tolist():
-            yield held[n][:4]
+            if len(others):
+                links[n] = others
+                met = group[np.append(others, n)]
+                group[np.isin(group, met)] = met.min()
+        members: dict[int, list[int]] = {}
+        for n, part in enumerate(group.tolist()):
+            members.setdefault(part, []).append(n)
+        for some in (some for some in members.values() if len(some) > 1):
+            pairs = set()
+            if sum(len(links.get(n, ())) for n in some) <= 2 * len(some):  # side 3 has a pair twice
+                pairs = {(max(digests[n], digests[m]), min(digests[n], digests[m])) for n in some for m in links.get(n, ())}
+            if 0 < len(pairs) <= len(some):
+                for digest, pivot in pairs:
+                    yield None, digest, None, None, pivot
+            else:
+                cell = _digest(np.array([[digests[n], sides[n]] for n in some], np.int64))
+                for n in some:
+                    yield cell, *held[n][1:4], None
 
     def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def stay() -> Iterator[tuple]:
@@ -467,10 +486,12 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
             if held:
                 yield from found(held)
 
-        return batches({"cell": pa.int64(), "digest": pa.int64(), "side": pa.int32(), "root": pa.int64()}, stay())
+        return batches({"cell": pa.int64(), "digest": pa.int64(), "side": pa.int32(), "root": pa.int64(), "pivot": pa.int64()}, stay())
 
     chosen = rows.select("cell", "digest", "side", "root", "n_shingles", "profile")
-    return written(chosen.mapInArrow(possible, "cell long, digest long, side int, root long"), "possible-cells")
+    left = written(chosen.mapInArrow(possible, "cell long, digest long, side int, root long, pivot long"), "possible-cells")
+    pairs = written(left.where(F.col("pivot").isNotNull()).select("digest", "pivot").distinct(), "left-pairs")
+    return left.where(F.col("pivot").isNull()).drop("pivot").dropDuplicates(["cell", "digest"]).union(_stars(pairs))
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
@@ -508,8 +529,16 @@ def _left_over(shared: DataFrame, roots: DataFrame) -> DataFrame:
 def _compared(cells: DataFrame, texts: DataFrame, words: int, above: int, below: int) -> DataFrame:
     """Links ``(a, b)`` between the two sides of every cell (side 3: among themselves), enough to connect what links connect.
 
-    Sets that ``root`` knows as connected are not compared again.
+    Sets that ``root`` knows as connected are not compared again. A text goes to every cell of its set, so
+    cells with many more rows than there are texts take turns: no more than ``PER_TEXT`` copies of all texts lie on the disks at once.
     """
+    cells = written(cells, "cells")
+    rounds = max(1, -(-cells.count() // max(ROUND, PER_TEXT * texts.count())))
+    turn = F.pmod(F.xxhash64("cell", F.lit(3)), F.lit(rounds))
+    return reduce(DataFrame.union, [_compared_at_once(cells.where(turn == n), texts, words, above, below) for n in range(rounds)])
+
+
+def _compared_at_once(cells: DataFrame, texts: DataFrame, words: int, above: int, below: int) -> DataFrame:
     let_go(texts.sparkSession)
     rows = cells.join(texts, "digest").repartition("cell").sortWithinPartitions("cell", "digest").select("cell", "digest", "side", "root", "body")
 

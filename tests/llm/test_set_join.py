@@ -145,3 +145,40 @@ def test_components(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {n: top(n) for n in range(161) if top(n) != n}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_that_share_many_entries_are_compared_once(spark):
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 2**64, 400, np.uint64) for _ in range(2)]
+    sets = [np.unique(s) for s in (sets[0], np.concatenate([sets[0][:390], sets[1][:10]]), sets[1])]
+    profiles = spark.createDataFrame([(n, len(s), set_join.profile(s)) for n, s in enumerate(sets)], "digest long, n_shingles long, profile binary")
+    cells = spark.createDataFrame([(cell, n, 3, n) for cell in range(40) for n in range(3)], "cell long, digest long, side int, root long")
+    rows = set_join._possible_in(cells, profiles, 80, 100).collect()
+    # One cell with the two sets that may be similar, not one per entry; the third is ruled out.
+    assert len({r.cell for r in rows}) == 1
+    assert sorted((r.digest, r.side) for r in rows) == [(0, 1), (1, 2)]
+
+
+def test_the_same_sets_of_several_cells_are_compared_once(spark):
+    one = np.unique(np.random.default_rng(4).integers(0, 2**64, 50, np.uint64))
+    profiles = spark.createDataFrame([(n, len(one), set_join.profile(one)) for n in range(6)], "digest long, n_shingles long, profile binary")
+    cells = spark.createDataFrame([(cell, n, 3, n) for cell in (7, 8, 9) for n in range(6)], "cell long, digest long, side int, root long")
+    rows = set_join._possible_in(cells, profiles, 80, 100).collect()
+    assert len({r.cell for r in rows}) == 1
+    assert sorted((r.digest, r.side, r.root) for r in rows) == [(n, 3, n) for n in range(6)]
+
+
+def test_cells_in_turns_lose_nothing(spark, monkeypatch):
+    import zstandard
+
+    turns = []
+    monkeypatch.setattr(set_join, "ROUND", 4)
+    monkeypatch.setattr(set_join, "_compared_at_once", lambda cells, *rest, f=set_join._compared_at_once: turns.append(cells.count()) or f(cells, *rest))
+    words = " ".join(f"w{n}" for n in range(60)).split()
+    texts = [(n, zstandard.compress(" ".join([*words, f"end{n % 4}"]).encode())) for n in range(8)]
+    pairs = [(a, b) for a in range(8) for b in range(a)]
+    cells = [(8 * a + b, n, side, None) for a, b in pairs for n, side in ((a, 2), (b, 1))]
+    cells = spark.createDataFrame(cells, "cell long, digest long, side int, root long")
+    found = set_join._compared(cells, spark.createDataFrame(texts, "digest long, body binary"), 3, 90, 100).collect()
+    assert sorted((max(r.a, r.b), min(r.a, r.b)) for r in found) == sorted(pairs)
+    assert len(turns) == 4 and sum(turns) == 56 and max(turns) < 40
