@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarflow.llm.tasks import batches, kept, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, kept, row_numbers, slices, utf8, written
 from bazaarflow.llm.word_pieces import WordPieces
 
 LENGTH = 4096
@@ -26,8 +26,9 @@ END = 1
 #: Pieces that one shard packs, and the room a bin may be left with before it is packed again.
 SHARD = 50_000
 ROOM = 16
-#: Bytes of text encoded at a time.
+#: Bytes of text encoded at a time, and rows that become Python objects at a time.
 AT_ONCE = 4 << 20
+ROWS = 2048
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end: int = END) -> DataFrame:
@@ -45,7 +46,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
         last = np.array([end], "<u4").tobytes()
 
         def rows() -> Iterator[tuple]:
-            for part in parts:
+            for part in (few for whole in parts for few in slices(whole, ROWS)):
                 ids = part.column("doc_id").to_pylist()
                 for n, found in words.encode_parts(utf8(part.column("text")), AT_ONCE):
                     found += last

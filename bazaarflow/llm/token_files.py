@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from bazaarflow.llm.tasks import batches, forget, kept, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, forget, kept, row_numbers, slices, utf8, written
 from bazaarflow.llm.word_pieces import WordPieces
 
 END = 1
-#: Bytes of text encoded at a time, and ids of a block unless one document has more.
+#: Bytes of text encoded at a time, rows that become Python objects at a time, and ids of a block unless one document has more.
 AT_ONCE = 4 << 20
+ROWS = 2048
 BLOCK = 1 << 20
 MAGIC = b"TKIDS\x00\x01\n"
 #: Documents, bytes of control and of ranks that follow. Every document starts a control byte of its own.
@@ -59,7 +60,7 @@ def tokens(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
 
         def rows() -> Iterator[tuple]:
             numbers = row_numbers()
-            for part in parts:
+            for part in (few for whole in parts for few in slices(whole, ROWS)):
                 ids = part.column("doc_id").to_pylist()
                 for n, found in words.encode_parts(utf8(part.column("text")), AT_ONCE):
                     found += last

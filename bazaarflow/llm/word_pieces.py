@@ -48,7 +48,9 @@ class WordPieces:
             c for c in range(33, 127)
             if not chr(c).isalnum() and c not in b"'<|>" and self.words.findall(f"a{chr(c)}!{chr(c)}") == ["a", f"{chr(c)}!{chr(c)}"]
         )
+        # What was met since, and before, the memory was last half full.
         self.chunks: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
 
     def _hash(self, keys: np.ndarray) -> None:
@@ -102,8 +104,7 @@ class WordPieces:
                 if ends.any():
                     done = ids[ends].astype("<u4").tobytes()
                     step = 4 * ids.shape[1]
-                    for n, word in enumerate(at[ends].tolist()):
-                        out[same[word]] = done[n * step : (n + 1) * step]
+                    out.update(zip(map(same.__getitem__, at[ends].tolist()), [done[n : n + step] for n in range(0, len(done), step)], strict=True))
                     if ends.all():
                         break
                     goes_on = ~ends
@@ -127,8 +128,9 @@ class WordPieces:
         plain: list[tuple[bytes, bytes, bytes]] = []
         split: list[tuple[bytes, list[bytes]]] = []
         odd: list[bytes] = []
-        for chunk in chunks:
-            # Letters, alone or before a run of signs: what most chunks are.
+        words = {chunk for chunk in chunks if chunk.isalpha() and chunk.islower() and len(chunk) < LONGEST}
+        for chunk in chunks - words:
+            # Letters, alone or before a run of signs: what most other chunks are.
             body = chunk.rstrip(self.signs)
             if len(chunk) < LONGEST:
                 if body.isalpha():
@@ -142,35 +144,40 @@ class WordPieces:
             if not PLAIN.fullmatch(text) or b"<|" in chunk:
                 odd.append(chunk)
                 continue
-            words = [w.encode() for w in self.words.findall(text.lower())]
-            if max(map(len, words)) > LONGEST:
+            cut = [w.encode() for w in self.words.findall(text.lower())]
+            if max(map(len, cut)) > LONGEST:
                 odd.append(chunk)
             else:
-                split.append((chunk, words))
+                split.append((chunk, cut))
         # A word has the ids that it has as a chunk of its own.
-        words = {word for _, word, _ in plain}
-        words.update([signs for _, _, signs in plain if signs], *(words for _, words in split))
-        known.update(self._merged([w for w in words if w not in known]))
+        words.update([word for _, word, _ in plain], [signs for _, _, signs in plain if signs], *(cut for _, cut in split))
+        known.update(self._merged(list(self._recalled({w for w in words if w not in known}))))
         known.update([(chunk, known[word] + known[signs] if signs else known[word]) for chunk, word, signs in plain])
-        known.update([(chunk, b"".join([known[w] for w in words])) for chunk, words in split])
+        known.update([(chunk, b"".join([known[w] for w in cut])) for chunk, cut in split])
         if odd:
             found = self.library.encode_batch([c.decode() for c in odd], add_special_tokens=False)
             for chunk, encoding in zip(odd, found, strict=True):
                 self.chunks[chunk] = np.array(encoding.ids, "<u4").tobytes()
 
+    def _recalled(self, chunks: set[bytes]) -> set[bytes]:
+        """Brings forward those of the chunks that were met before, and returns the others."""
+        again = self.older.keys() & chunks
+        self.chunks.update(zip(again, map(self.older.__getitem__, again)))
+        return chunks - again
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
         collecting = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and the collector walks every list of chunks
         try:
-            if self.held > REMEMBERED:
-                self.chunks, self.held = {}, 0
+            if self.held > REMEMBERED // 2:
+                self.older, self.chunks, self.held = self.chunks, {}, 0
             known = self.chunks
-            split = [text.split() for text in texts]
+            split = [_small(text).split() for text in texts]
             missing = set(chain.from_iterable(split)).difference(known)
             if missing:
                 before = len(known)
-                self._learn(missing)
+                self._learn(self._recalled(missing))
                 self.held += sum(map(len, missing)) + sum(map(len, map(known.__getitem__, missing))) + ENTRY * (len(known) - before)
             return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
         finally:
@@ -189,6 +196,11 @@ class WordPieces:
             at = to
 
 
+def _small(text: bytes) -> bytes:
+    """The text with a-z for A-Z, as the vocabulary's rules have it, unless it may hold marks that compose with letters, or special tokens."""
+    return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
+
+
 def _byte_name(byte: int) -> str:
     """The printable character that stands for a byte in the vocabulary file."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

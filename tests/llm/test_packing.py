@@ -100,3 +100,23 @@ def test_no_task_gets_all_pieces(spark, monkeypatch):
     assert checked(rows, 4096) == len(rows) == 4000
     shards = [f.groupBy(F.shiftright("sequence_id", 40)).count().agg(F.max("count")).first()[0] for f in frames[1:]]
     assert len(shards) <= 3 and max(shards) < 1000
+
+
+def test_chunks_that_recur_are_not_learned_again(monkeypatch):
+    from bazaarflow.llm import word_pieces
+
+    words, learned = WordPieces(open(PATH, "rb").read()), []
+    monkeypatch.setattr(word_pieces, "REMEMBERED", 20_000)
+    monkeypatch.setattr(words, "_learn", lambda chunks, learn=words._learn: learned.extend(chunks) or learn(chunks))
+    for n in range(30):
+        rare = " ".join(f"rare{chr(97 + n % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+        text = f"Often, OFTEN often {rare}"
+        assert np.frombuffer(words.encode([text.encode()])[0], "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert learned.count(b"often") == learned.count(b"often,") == 1 and b"OFTEN" not in learned
+    assert len(words.chunks) + len(words.older) < 400
+
+
+@pytest.mark.parametrize("text", ["H̱ H̱. T̈ a<|ENDOFTEXT|> <|endoftext|>A", "ΑΣ ΑΣA AΣ İI K Å É", "A̱B Ǧ J̌"])
+def test_capitals_beside_marks_and_special_tokens(text):
+    for t in (text, text.lower(), "Some Words. " + text):
+        assert np.frombuffer(WORDS.encode([t.encode()])[0], "<u4").tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
