@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarflow.llm.components import components
-from bazaarflow.llm.tasks import batches, give_back, join_classes, let_go, row_numbers, slices, utf8, written
+from bazaarflow.llm.tasks import batches, give_back, in_small_batches, join_classes, let_go, row_numbers, slices, utf8, written
 
 #: Bytes of text hashed at a time, index entries held by a task, documents on one side of a comparison.
 AT_ONCE = 256 << 10
@@ -258,6 +258,7 @@ def _entries(shingles: np.ndarray, cut: Partition, band: int, differ: int) -> np
     return _mixed(content + _mixed(kinds.astype(np.uint64) * _FACTORS[4] + np.uint64(band * int(_FACTORS[5]) % 2**64)))
 
 
+@in_small_batches
 def similar_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, above: int = 90, below: int = 100
 ) -> DataFrame:
@@ -391,6 +392,7 @@ def _texts_of(rows: DataFrame, filled: DataFrame, nodes: DataFrame, words: int)
     found = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["w_id"]) & (rows["same_text"] == wanted["w_text"]), "left_semi")
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         pack = zstandard.ZstdCompressor(level=1).compress
         for part in (few for whole in parts for few in slices(whole)):
             texts = utf8(part.column("text"))
@@ -418,6 +420,7 @@ def _possible(pairs: DataFrame, profiles: DataFrame, above: int, below: int) ->
     both = fits.join(one, "digest").join(other, "pivot")
 
     def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for part in parts:
             n1, n2 = (part.column(n).to_numpy() for n in ("n1", "n2"))
             p1, p2 = (part.column(n).to_pylist() for n in ("p1", "p2"))
@@ -475,6 +478,8 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
                     yield cell, *held[n][1:4], None
 
     def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+
         def stay() -> Iterator[tuple]:
             held: list[tuple] = []
             for part in parts:
@@ -543,6 +548,7 @@ def _compared_at_once(cells: DataFrame, texts: DataFrame, words: int, above: int
     rows = cells.join(texts, "digest").repartition("cell").sortWithinPartitions("cell", "digest").select("cell", "digest", "side", "root", "body")
 
     def links(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         unpack = zstandard.ZstdDecompressor().decompress
         held: list[tuple] = []
 
@@ -609,7 +615,7 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     out = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(column, kind="stable")
     column, row = column[order], row[order]
-    width = 8192
+    width = 2048
     for start in range(0, int(often.sum()), width):
         a, b = np.searchsorted(column, [start, start + width])
         part = np.zeros((len(left) + len(right), width), np.float32)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from frames import awkward, empty
 
-from bazaarflow.llm import set_join
+from bazaarflow.llm import set_join, tasks
 from bazaarflow.llm.components import components
 
 
@@ -182,3 +182,30 @@ def test_cells_in_turns_lose_nothing(spark, monkeypatch):
     found = set_join._compared(cells, spark.createDataFrame(texts, "digest long, body binary"), 3, 90, 100).collect()
     assert sorted((max(r.a, r.b), min(r.a, r.b)) for r in found) == sorted(pairs)
     assert len(turns) == 4 and sum(turns) == 56 and max(turns) < 40
+
+
+def test_tables_are_written_in_small_batches(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    monkeypatch.setattr(set_join, "written", lambda df, purpose, f=set_join.written: seen.append(int(spark.conf.get(name))) or f(df, purpose))
+    rows = near_copies(6, sizes=(30,))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get(name)
+    found = set_join.similar_components(docs)
+    assert seen and max(seen) <= 512 and spark.conf.get(name) == before
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr) == brute(rows, 3, 90, 100)
+    spark.conf.set(name, "7")  # the session's own smaller number stays
+    try:
+        seen.clear()
+        set_join.similar_components(docs)
+        assert set(seen) == {7} and spark.conf.get(name) == "7"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_a_worker_lets_go_of_what_another_operator_kept():
+    tasks.kept("a model", 1, lambda: [0] * 1000)
+    tasks.give_back()
+    made = []
+    assert tasks.kept("a model", 1, lambda: made.append(1) or "made anew") == "made anew" and made
+    assert tasks.kept("a model", 1, lambda: made.append(1)) == "made anew" and len(made) == 1
+    tasks.give_back()
