@@ -1,6 +1,7 @@
 """Documents to packed training sequences: the stages of the corpus pipeline.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the one before kept.
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. It
+begins by letting go of what the one before needed.
 Rows of one stage's decisions are found again by id and a hash of the whole
 text, so a repeated id with another text is another document.
 """
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bazaarflow.llm import language, packing, pii, set_join
 from bazaarflow.llm.exact_index import exact_copies
-from bazaarflow.llm.tasks import written
+from bazaarflow.llm.tasks import let_go, written
 from bazaarflow.sources.tables import table
 
 #: Near copies share this part, above / below, of their shingles of so many words.
@@ -28,6 +29,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Learns from the labelled documents that are not held out. Documents that lack a label get the
     language found; short or mixed texts have their nearest one and stay. An empty table stays empty.
     """
+    let_go(spark)
     parser = language.train(docs.where(~language.held_out()))
     found = language.detect(docs, parser, names=("__lang", "__score"))
     # Without labels nothing can be told, then letters alone decide.
@@ -39,16 +41,19 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_equal_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one of every class of equal texts, as the exact index decides."""
+    let_go(spark)
     return _kept(docs, exact_copies(docs))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every component of similar ones."""
+    let_go(spark)
     return _kept(docs, set_join.similar_components(docs, words=WORDS, above=ABOVE, below=BELOW))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in all texts; ``n_chars`` follows the text."""
+    let_go(spark)
     out = pii.redact(docs, trees=pii.train(docs))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
@@ -57,6 +62,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their places in sequences."""
+    let_go(spark)
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.token_pieces(docs, vocabulary)).drop("row")
 

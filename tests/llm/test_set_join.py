@@ -1,8 +1,14 @@
+import os
 import random
 import re
+import subprocess
+import sys
+import tempfile
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyspark
 import pytest
 from frames import awkward, empty
 
@@ -209,3 +215,30 @@ def test_a_worker_lets_go_of_what_another_operator_kept():
     assert tasks.kept("a model", 1, lambda: made.append(1) or "made anew") == "made anew" and made
     assert tasks.kept("a model", 1, lambda: made.append(1)) == "made anew" and len(made) == 1
     tasks.give_back()
+
+
+def test_executors_collect_their_garbage_too(spark):
+    code = """
+import sys
+from pyspark.sql import SparkSession
+from bazaarflow.llm.tasks import let_go
+
+builder = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "900m").config("spark.ui.enabled", "false")
+spark = builder.config("spark.executor.extraJavaOptions", f"-Xlog:gc:file={sys.argv[1]}/gc-%p.log").getOrCreate()
+while spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() < 3:
+    pass
+let_go(spark)
+spark.stop()
+"""
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        own = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_"))}
+        home = Path(folder, "home")  # executors work below Spark's home
+        home.mkdir()
+        for part in Path(pyspark.__file__).parent.iterdir():
+            if part.name != "work":
+                (home / part.name).symlink_to(part)
+        own |= {"PYTHONPATH": path, "SPARK_LOCAL_IP": "127.0.0.1", "SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13"}
+        subprocess.run([sys.executable, "-c", code, folder], env=own, check=True, timeout=120, cwd=folder)
+        collected = ["System.gc()" in open(f"{folder}/{name}").read() for name in os.listdir(folder) if name.endswith(".log")]
+    assert collected == [True, True]
