@@ -3,7 +3,9 @@
 The vocabulary's rules never join text across ASCII blanks, so a text is cut
 there and each different chunk is encoded once per task. Plain Latin chunks go
 through array merges: all words of one length are merged together, one merge of
-lowest rank per word and step. Every other chunk goes to the library.
+lowest rank per word and step. Every other chunk goes to the library. Chunks are
+told apart and put together again as Arrow and numpy arrays; only different ones
+become Python objects.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ import gc
 import json
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -22,6 +26,7 @@ NONE = np.int32(2**31 - 1)
 #: Printable ASCII and Latin letters, on which case and composition are plain.
 PLAIN = re.compile("[\x21-\x7e¡-įı-ɏ]+")
 LONGEST = 64
+_LETTERS = "".join(c for c in map(chr, range(33, 0x250)) if c.isalpha() and PLAIN.fullmatch(c))
 #: Bytes of chunks and their ids that a worker remembers, and what an entry costs beside them.
 REMEMBERED = 32 << 20
 ENTRY = 130
@@ -48,6 +53,8 @@ class WordPieces:
             c for c in range(33, 127)
             if not chr(c).isalnum() and c not in b"'<|>" and self.words.findall(f"a{chr(c)}!{chr(c)}") == ["a", f"{chr(c)}!{chr(c)}"]
         )
+        # Letters, alone or before such a run: what most chunks are.
+        self.plain = re.compile(f"(?:([{_LETTERS}]++)([{re.escape(self.signs.decode())}]*+)|[^ ]+)(?: |$)")
         # What was met since, and before, the memory was last half full.
         self.chunks: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -125,21 +132,13 @@ class WordPieces:
 
     def _learn(self, chunks: set[bytes]) -> None:
         known = self.chunks
-        plain: list[tuple[bytes, bytes, bytes]] = []
         split: list[tuple[bytes, list[bytes]]] = []
         odd: list[bytes] = []
         words = {chunk for chunk in chunks if chunk.isalpha() and chunk.islower() and len(chunk) < LONGEST}
-        for chunk in chunks - words:
-            # Letters, alone or before a run of signs: what most other chunks are.
-            body = chunk.rstrip(self.signs)
-            if len(chunk) < LONGEST:
-                if body.isalpha():
-                    plain.append((chunk, body.lower(), chunk[len(body) :]))
-                    continue
-                text = body.decode()
-                if text.isalpha() and PLAIN.fullmatch(text):
-                    plain.append((chunk, text.lower().encode(), chunk[len(body) :]))
-                    continue
+        others = chunks - words
+        found = self.plain.findall(b" ".join(others).decode())
+        plain = [x for x in (((word + signs).encode(), word.lower().encode(), signs.encode()) for word, signs in found if word) if len(x[0]) < LONGEST]
+        for chunk in others.difference([chunk for chunk, _, _ in plain]):
             text = chunk.decode()
             if not PLAIN.fullmatch(text) or b"<|" in chunk:
                 odd.append(chunk)
@@ -151,7 +150,7 @@ class WordPieces:
                 split.append((chunk, cut))
         # A word has the ids that it has as a chunk of its own.
         words.update([word for _, word, _ in plain], [signs for _, _, signs in plain if signs], *(cut for _, cut in split))
-        known.update(self._merged(list(self._recalled({w for w in words if w not in known}))))
+        known.update(self._merged(list(self._recalled(words.difference(known)))))
         known.update([(chunk, known[word] + known[signs] if signs else known[word]) for chunk, word, signs in plain])
         known.update([(chunk, b"".join([known[w] for w in cut])) for chunk, cut in split])
         if odd:
@@ -173,13 +172,14 @@ class WordPieces:
             if self.held > REMEMBERED // 2:
                 self.older, self.chunks, self.held = self.chunks, {}, 0
             known = self.chunks
-            split = [_small(text).split() for text in texts]
-            missing = set(chain.from_iterable(split)).difference(known)
+            begins, places, different = _chunks(list(map(_small, texts)))
+            missing = set(different).difference(known)
             if missing:
                 before = len(known)
                 self._learn(self._recalled(missing))
-                self.held += sum(map(len, missing)) + sum(map(len, map(known.__getitem__, missing))) + ENTRY * (len(known) - before)
-            return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+                # New entries are the last ones.
+                self.held += sum(map(len, islice(known, before, None))) + sum(map(len, islice(known.values(), before, None))) + ENTRY * (len(known) - before)
+            return _put_together(begins, places, list(map(known.__getitem__, different)))
         finally:
             if collecting:
                 gc.enable()
@@ -201,6 +201,27 @@ def _small(text: bytes) -> bytes:
     return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
 
 
+def _chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Where each text's chunks begin, and end at last, each chunk's place among the different ones, and these."""
+    plain = pa.array(texts, pa.binary())
+    split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(plain), plain.buffers()))
+    begins, coded = split.offsets.to_numpy(), split.values.dictionary_encode()
+    different = pa.Array.from_buffers(pa.binary(), len(coded.dictionary), coded.dictionary.buffers())
+    return begins, coded.indices.to_numpy(), different.to_numpy(zero_copy_only=False).tolist()
+
+
+def _put_together(begins: np.ndarray, places: np.ndarray, ids: list[bytes]) -> list[bytes]:
+    """The ids of each text's chunks one after the other; ``ids`` are those of the different chunks."""
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.cumsum(lengths) - lengths
+    each = lengths[places]
+    ends = np.concatenate([[0], np.cumsum(each)])
+    at = np.arange(ends[-1]) + np.repeat(starts[places] - ends[:-1], each)
+    out = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+    cuts = (4 * ends[begins]).tolist()
+    return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _byte_name(byte: int) -> str:
     """The printable character that stands for a byte in the vocabulary file."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -120,3 +120,20 @@ def test_chunks_that_recur_are_not_learned_again(monkeypatch):
 def test_capitals_beside_marks_and_special_tokens(text):
     for t in (text, text.lower(), "Some Words. " + text):
         assert np.frombuffer(WORDS.encode([t.encode()])[0], "<u4").tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
+
+
+def test_a_chunk_that_recurs_is_looked_up_once():
+    class Counted(dict):
+        looked_up = 0
+
+        def __getitem__(self, chunk):
+            self.looked_up += 1
+            return super().__getitem__(chunk)
+
+    words = WordPieces(open(PATH, "rb").read())
+    words.chunks = Counted()
+    texts = ["", " \t", "Same same,\x0b same!! " * 100, "  same é\x1cn,; \x85 2x I'm étÉ. ", "x" * 70 + "., same", "same\n"]
+    for _ in range(2):
+        for text, found in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(found, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert words.chunks.looked_up < 100
