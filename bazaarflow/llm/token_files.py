@@ -30,7 +30,7 @@ from bazaarflow.llm.word_pieces import WordPieces
 
 END = 1
 #: Bytes of text encoded at a time, rows that become Python objects at a time, and ids of a block unless one document has more.
-AT_ONCE = 4 << 20
+AT_ONCE = 8 << 20
 ROWS = 2048
 BLOCK = 1 << 20
 MAGIC = b"TKIDS\x00\x01\n"

@@ -28,7 +28,7 @@ PLAIN = re.compile("[\x21-\x7e¡-įı-ɏ]+")
 LONGEST = 64
 _LETTERS = "".join(c for c in map(chr, range(33, 0x250)) if c.isalpha() and PLAIN.fullmatch(c))
 #: Bytes of chunks and their ids that a worker remembers, and what an entry costs beside them.
-REMEMBERED = 32 << 20
+REMEMBERED = 64 << 20
 ENTRY = 130
 
 
@@ -173,13 +173,15 @@ class WordPieces:
                 self.older, self.chunks, self.held = self.chunks, {}, 0
             known = self.chunks
             begins, places, different = _chunks(list(map(_small, texts)))
-            missing = set(different).difference(known)
+            ids = list(map(known.get, different))
+            missing = {chunk for chunk, found in zip(different, ids, strict=True) if found is None}
             if missing:
                 before = len(known)
                 self._learn(self._recalled(missing))
                 # New entries are the last ones.
                 self.held += sum(map(len, islice(known, before, None))) + sum(map(len, islice(known.values(), before, None))) + ENTRY * (len(known) - before)
-            return _put_together(begins, places, list(map(known.__getitem__, different)))
+                ids = [known[chunk] if found is None else found for chunk, found in zip(different, ids, strict=True)]
+            return _put_together(begins, places, ids)
         finally:
             if collecting:
                 gc.enable()
