@@ -296,9 +296,9 @@ class Transaction:
         else:
             bucketed = numbered.withColumn("bucket", bucket_of(F.col(KEY), self.snapshot.buckets))
             # Large batches are written by many tasks; compaction makes their files larger.
-            files = -(-rows // SMALL_BATCH)
+            files = -(-rows // (SMALL_BATCH or rows))  # 0: one file a bucket
             dealt = bucketed.repartitionByRange(files, "bucket", KEY).sortWithinPartitions("bucket", KEY)
-        self.added = self.target._write(dealt, writer, batch_id, min(rows, SMALL_BATCH))
+        self.added = self.target._write(dealt, writer, batch_id, min(rows, SMALL_BATCH or rows))
         return start + rows
 
     def set_aside(self, rejects: DataFrame, rows: int, writer: str, batch_id: int) -> None:
