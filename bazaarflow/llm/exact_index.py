@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarflow.llm.tasks import batches, give_back, join_classes, row_numbers, utf8, written
+from bazaarflow.llm.tasks import batches, forget, give_back, join_classes, row_numbers, utf8, written
 
 BLANKS = b" \t\n\x0b\x0c\r"
 #: Texts in a bucket before it is split, and bits of a hash that one pass may use.
@@ -52,7 +52,8 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
         "exact-index",
     )
     chained = _chained(index, capacity)
-    light = index.drop("body").join(chained, "entry", "left").na.fill(0, ["chain"])
+    light = written(index.drop("body").join(chained, "entry", "left").na.fill(0, ["chain"]), "exact-rows")
+    forget(index)  # the texts are on the disks no longer than they are compared
     # Partial maxima and counts are made in every task before the shuffle.
     groups = light.groupBy("hash", "chain").agg(
         F.count(F.lit(1)).alias("group_size"),

@@ -5,7 +5,8 @@ shingles is cut by a hash into more than H segments, so similar sets agree in
 some segment; where a segment counts double, its sets with one shingle left out
 are indexed too, and it may differ in one. Sizes fall into bands, each with a
 partition of its own, chosen by its cost. Sets that share an entry of the index
-are compared exactly.
+are compared exactly: first with one set of the entry, then, where an entry's sets are
+still in several components, with those that also share one of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bazaarflow.llm.components import components
-from bazaarflow.llm.tasks import batches, give_back, in_small_batches, join_classes, let_go, row_numbers, slices, utf8, written
+from bazaarflow.llm.tasks import batches, forget, give_back, in_small_batches, join_classes, let_go, row_numbers, slices, utf8, written
 
 #: Bytes of text hashed at a time, index entries held by a task, documents on one side of a comparison.
 AT_ONCE = 256 << 10
@@ -33,6 +34,9 @@ ENTRIES = 400_000
 SIDE = 256
 #: Rows of cells that get their texts in one round: so many, or so many for every text.
 ROUND, PER_TEXT = 100_000, 2
+#: Shingles are counted by so many bits of their hash at most, in pieces of so many bits; places held by a task.
+PLACES, PIECE = 24, 18
+COUNTED = 1_000_000
 #: Rows of two numbers that are broadcast.
 SMALL = 250_000
 #: For the cost of a partition: the chance that unrelated texts share a shingle, and the price of a comparison in index entries.
@@ -312,8 +316,14 @@ def similar_components(
     texts = _texts_of(rows, filled, nodes, words)
 
     first = _compared(_stars(_possible(pairs, profiles, above, below)), texts, words, above, below)
+    forget(pairs)
     roots = components(first)
-    second = _compared(_possible_in(_left_over(shared, roots), profiles, above, below), texts, words, above, below)
+    unsettled = _unsettled(shared, roots)
+    forget(shared)
+    left = _left_over(unsettled, texts, counts, words, above, below)
+    second = _compared(_possible_in(left, profiles, above, below), texts, words, above, below)
+    for table in (unsettled, left, profiles, texts):
+        forget(table)
     if not second.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
 
@@ -442,7 +452,8 @@ def _possible(pairs: DataFrame, profiles: DataFrame, above: int, below: int) ->
 def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int) -> DataFrame:
     """Comparisons that profiles leave possible between different components of a cell.
 
-    A cell falls into parts between which no pair is possible. A part with no more pairs than rows gives these
+    ``rest`` is at least what a set can have in common with others of its cell (without it: all). A cell falls into
+    parts between which no pair is possible. A part with no more pairs than rows gives these
     pairs, of other parts the rows stay, so the result is no larger than the cells are. Pairs, and parts with
     the same sets, are compared once, however many entries they share.
     """
@@ -450,14 +461,16 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
     rows = cells.join(profiles, "digest").repartition("cell").sortWithinPartitions("cell", "digest")
 
     def found(held: list[tuple]) -> Iterator[tuple]:
-        _, digests, sides, roots, sizes, profiles_ = zip(*held, strict=True)
-        matrix, sizes, roots = _folded(profiles_), np.array(sizes), np.array(roots)
+        _, digests, sides, roots, sizes, profiles_, rests = zip(*held, strict=True)
+        matrix, sizes, roots, rests = _folded(profiles_), np.array(sizes), np.array(roots), np.array(rests)
         right = np.array([n for n, side in enumerate(sides) if side & 2], np.int64)
         group = np.arange(len(held))
         links: dict[int, np.ndarray] = {}
         for n in (n for n, side in enumerate(sides) if side & 1):
-            apart = np.abs(matrix[right] - matrix[n]).sum(1)
-            others = right[_can_link(sizes[n], sizes[right], apart, above, below) & (roots[right] != roots[n])]
+            both = np.minimum(rests[n], rests[right])
+            others = right[(both * (above + below) >= above * (sizes[n] + sizes[right])) & (roots[right] != roots[n])]
+            apart = np.abs(matrix[others] - matrix[n]).sum(1)
+            others = others[_can_link(sizes[n], sizes[others], apart, above, below)]
             if len(others):
                 links[n] = others
                 met = group[np.append(others, n)]
@@ -483,7 +496,7 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
         def stay() -> Iterator[tuple]:
             held: list[tuple] = []
             for part in parts:
-                for row in zip(*(part.column(n).to_pylist() for n in ("cell", "digest", "side", "root", "n_shingles", "profile")), strict=True):
+                for row in zip(*(part.column(n).to_pylist() for n in ("cell", "digest", "side", "root", "n_shingles", "profile", "rest")), strict=True):
                     if held and row[0] != held[-1][0]:
                         yield from found(held)
                         held = []
@@ -493,7 +506,8 @@ def _possible_in(cells: DataFrame, profiles: DataFrame, above: int, below: int)
 
         return batches({"cell": pa.int64(), "digest": pa.int64(), "side": pa.int32(), "root": pa.int64(), "pivot": pa.int64()}, stay())
 
-    chosen = rows.select("cell", "digest", "side", "root", "n_shingles", "profile")
+    rest = F.col("rest").cast("long") if "rest" in cells.columns else F.col("n_shingles")
+    chosen = rows.select("cell", "digest", "side", "root", "n_shingles", "profile", rest.alias("rest"))
     left = written(chosen.mapInArrow(possible, "cell long, digest long, side int, root long, pivot long"), "possible-cells")
     pairs = written(left.where(F.col("pivot").isNotNull()).select("digest", "pivot").distinct(), "left-pairs")
     return left.where(F.col("pivot").isNull()).drop("pivot").dropDuplicates(["cell", "digest"]).union(_stars(pairs))
@@ -510,25 +524,170 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return others.union(pivots)
 
 
-def _left_over(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Comparisons within entries whose sets lie in several components, all sets with all others in blocks."""
-    # A pivot is a member too; its own row is not there where it met no other task's.
-    named = shared.select("entry", "digest").union(shared.select("entry", "pivot")).distinct()
-    members = named.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-    members = members.select("entry", "digest", F.coalesce("root", "digest").alias("root"))
+def _unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Sets, with their components, of the entries that have more than two sets and several components."""
+    let_go(shared.sparkSession)
+    named = F.broadcast(roots) if roots.count() <= SMALL else roots
+    # The set with an entry's other sets tied to it, directly or not, is a pivot of them.
+    tied = shared.where(F.col("digest") != F.col("pivot"))
+    for of, root in (("digest", "root1"), ("pivot", "root2")):
+        tied = tied.join(named.select(F.col("node").alias(of), F.col("root").alias(root)), of, "left").withColumn(root, F.coalesce(root, of))
+    # A pair alone was compared already.
+    groups = tied.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("root1") != F.col("root2")).alias("several"))
+    entries = written(groups.where((F.col("n") > 1) & F.col("several")).select("entry"), "unsettled-entries")
+    rows = tied.join(F.broadcast(entries) if entries.count() <= SMALL else entries, "entry", "left_semi")
+    sets = rows.select("digest", F.col("root1").alias("root")).union(rows.select("pivot", "root2"))
+    sets = written(sets.distinct(), "unsettled-sets")
+    forget(entries)
+    return sets
+
+
+def _left_over(unsettled: DataFrame, texts: DataFrame, counts: dict[int, int], words: int, above: int, below: int) -> DataFrame:
+    """Comparisons between components, of sets that share one of their rarest shingles, all sets with all others in blocks.
+
+    All shingles have one order, by how many of the sets have them, as far as that was counted. Similar sets
+    have at least ``above / below`` of the larger one's shingles in common, so the first that both have is among the first
+    of either, and neither has fewer than these shingles from there on.
+    """
+    let_go(texts.sparkSession)
+    open_ = texts.join(F.broadcast(unsettled) if unsettled.count() <= SMALL else unsettled, "digest")
+    shingles = sum(n * math.exp((s + 1) / 20) for s, n in counts.items())
+    bits = min(PLACES, max(8, math.ceil(math.log2(shingles + 1))))
+    shipped = texts.sparkSession.sparkContext.broadcast(_frequencies(open_.select("body"), words, bits))  # 2 ** PLACES bytes at most
+
+    def rarest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        known = np.frombuffer(shipped.value, np.uint8)
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            sets = [len(few) for few, *_ in held]
+            columns = [np.concatenate([h[0] for h in held]).view(np.int64), np.repeat(np.array([h[1:4] for h in held], np.int64), sets, 0), np.concatenate([h[4] for h in held])]
+            return pa.table({"entry": columns[0], **{n: columns[1][:, k] for k, n in enumerate(("digest", "root", "size"))}, "rest": columns[2]})
+
+        total = 0
+        for part, some in _unpacked(parts, words):
+            for digest, root, found in zip(part.column("digest").to_pylist(), part.column("root").to_pylist(), some, strict=True):
+                size = len(found)
+                often = known[found >> np.uint64(64 - bits)]
+                first = np.argsort(often, kind="stable")[: size - -(-above * size // below) + 1]
+                rest = size - np.arange(len(first))
+                shared = often[first] > 1  # else no other set has it
+                held.append((found[first[shared]], digest, root, size, rest[shared]))
+                total += int(shared.sum())
+            if total > ENTRIES // 4:
+                yield from flush().to_batches(65_536)
+                held.clear()
+                total = 0
+        if held:
+            yield from flush().to_batches(65_536)
+
+    index = open_.select("digest", "root", "body").mapInArrow(rarest, "entry long, digest long, root long, size long, rest long")
+    window = Window.partitionBy("entry")
+    # What a set could have in common with one of no shingles, times ``above + below``, less its own part of what is needed.
+    spare = F.col("rest") * (above + below) - F.col("size") * above
+    bounds = {"least": F.min("root"), "most": F.max("root"), "smallest": F.min("size"), "largest": F.max(spare)}
+    met = index.select("entry", "digest", "root", "rest", "size", *[x.over(window).alias(n) for n, x in bounds.items()])
+    fits = (F.col("least") != F.col("most")) & (spare >= F.col("smallest") * above) & (F.col("largest") >= F.col("size") * above)
+    members = written(met.where(fits).select("entry", "digest", "root", "rest"), "left-entries")
+    shipped.destroy()
+    let_go(texts.sparkSession)
     groups = members.groupBy("entry").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"),
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), F.sum("rest").alias("rest"),
         F.sum(F.shiftright(F.xxhash64("digest"), 24)).alias("who"), F.sum(F.shiftright(F.xxhash64("digest", F.lit(1)), 24)).alias("who2"),
     )
-    # A pair alone was compared already; entries with the same sets are one.
-    open_ = groups.where((F.col("n") > 2) & (F.col("least") != F.col("most"))).groupBy("n", "who", "who2").agg(F.min("entry").alias("entry"))
+    # Of shingles with the same sets the first one is enough.
+    kept = groups.where(F.col("least") != F.col("most")).groupBy("n", "who", "who2").agg(F.max_by("entry", "rest").alias("entry"))
     blocks = F.ceil(F.col("n") / SIDE).cast("int")
-    rows = members.join(open_.select("entry", blocks.alias("blocks")), "entry")
+    rows = members.join(kept.select("entry", blocks.alias("blocks")), "entry")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("digest", F.lit(2)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     side = F.when(F.col("own") == F.col("other"), 3).when(F.col("own") < F.col("other"), 1).otherwise(2)
     cell = F.xxhash64("entry", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(cell.alias("cell"), "digest", side.alias("side"), "root")
+    cells = written(rows.select(cell.alias("cell"), "digest", side.alias("side"), "root", "rest"), "left-cells")
+    forget(members)
+    return cells
+
+
+def _unpacked(parts: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Rows a few at a time, and the sets of their packed texts."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for part in (few for whole in parts for few in slices(whole, 64)):
+        yield part, list(_in_parts([unpack(body) for body in part.column("body").to_pylist()], words))
+
+
+def _frequencies(texts: DataFrame, words: int, bits: int) -> bytes:
+    """For each value of the first ``bits`` of a shingle's hash a number that grows with how many sets have such shingles: 0 none, 1 one.
+
+    Tasks send the gaps between their sorted places, a byte each; the driver gets a byte for a place.
+    """
+    width = min(bits, PIECE)
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        pack = zstandard.ZstdCompressor(level=1).compress
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            places = np.sort(np.concatenate(held))
+            ends = np.searchsorted(places, np.arange((1 << bits - width) + 1) << width)
+            there = np.flatnonzero(ends[1:] > ends[:-1])
+            packed = [pack(_gaps(places[ends[n] : ends[n + 1]] - (n << width))) for n in there.tolist()]
+            return pa.record_batch([pa.array(there, pa.int32()), pa.array(packed, pa.binary())], names=["piece", "gaps"])
+
+        size = 0
+        for _, sets in _unpacked(parts, words):
+            for shingles in sets:
+                held.append((shingles >> np.uint64(64 - bits)).astype(np.int64))
+                size += len(shingles)
+            if size > COUNTED:
+                yield out()
+                held.clear()
+                size = 0
+        if held:
+            yield out()
+
+    def added(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, unpack = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
+        def rows() -> Iterator[tuple[int, bytes]]:
+            piece, total = None, np.zeros(0, np.int64)
+            for part in parts:
+                for n, gaps in zip(part.column("piece").to_pylist(), part.column("gaps").to_pylist(), strict=True):
+                    if n != piece:
+                        if piece is not None:
+                            yield piece, pack(_steps(total))
+                        piece, total = n, np.zeros(1 << width, np.int64)
+                    total += np.bincount(_places(unpack(gaps)), minlength=1 << width)
+            if piece is not None:
+                yield piece, pack(_steps(total))
+
+        return batches({"piece": pa.int32(), "steps": pa.binary()}, rows(), 8)
+
+    dealt = texts.mapInArrow(counted, "piece int, gaps binary").repartition("piece").sortWithinPartitions("piece")
+    found = np.zeros((1 << bits - width, 1 << width), np.uint8)
+    unpack = zstandard.ZstdDecompressor().decompress
+    for piece, steps in dealt.mapInArrow(added, "piece int, steps binary").collect():
+        found[piece] = np.frombuffer(unpack(bytes(steps)), np.uint8)
+    return found.tobytes()
+
+
+def _gaps(places: np.ndarray) -> bytes:
+    """Sorted numbers as the bytes of what each adds to the one before; 255 adds that much to the next."""
+    gaps = np.diff(places, prepend=0)
+    out = np.full(len(gaps) + int((gaps // 255).sum()), 255, np.uint8)
+    out[np.cumsum(gaps // 255 + 1) - 1] = gaps % 255
+    return out.tobytes()
+
+
+def _places(gaps: bytes) -> np.ndarray:
+    found = np.frombuffer(gaps, np.uint8)
+    return np.cumsum(found, dtype=np.int64)[found < 255]
+
+
+def _steps(counts: np.ndarray) -> bytes:
+    """Counts as bytes in their order: 0, 1, and beyond that in steps of a tenth of a doubling."""
+    return np.where(counts > 0, np.minimum(10 * np.log2(np.maximum(counts, 1)) + 1, 255), 0).astype(np.uint8).tobytes()
 
 
 def _compared(cells: DataFrame, texts: DataFrame, words: int, above: int, below: int) -> DataFrame:
@@ -540,7 +699,9 @@ def _compared(cells: DataFrame, texts: DataFrame, words: int, above: int, below:
     cells = written(cells, "cells")
     rounds = max(1, -(-cells.count() // max(ROUND, PER_TEXT * texts.count())))
     turn = F.pmod(F.xxhash64("cell", F.lit(3)), F.lit(rounds))
-    return reduce(DataFrame.union, [_compared_at_once(cells.where(turn == n), texts, words, above, below) for n in range(rounds)])
+    links = reduce(DataFrame.union, [_compared_at_once(cells.where(turn == n), texts, words, above, below) for n in range(rounds)])
+    forget(cells)
+    return links
 
 
 def _compared_at_once(cells: DataFrame, texts: DataFrame, words: int, above: int, below: int) -> DataFrame:

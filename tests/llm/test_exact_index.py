@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from frames import awkward, empty
 
-from bazaarflow.llm import exact_index
+from bazaarflow.llm import exact_index, tasks
 from bazaarflow.llm.exact_index import directory, exact_copies
 
 
@@ -52,3 +52,14 @@ def test_chain_compares_bytes(spark):
     )
     found = [tuple(r.values()) for b in exact_index._chains(iter([part])) for r in b.to_pylist()]
     assert found == [(2, 1), (4, 2)]
+
+
+def test_texts_go_when_they_are_compared(spark, monkeypatch, tmp_path):
+    made = []
+    monkeypatch.setattr(tasks, "working_folder", lambda spark, purpose: made.append(purpose) or f"{tmp_path}/{purpose}-{len(made)}")
+    docs = awkward(spark)
+    found = exact_copies(docs)
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert "exact-index" in made and "exact-index" not in left
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found.collect()], key=repr) == brute(rows)

@@ -208,6 +208,61 @@ def test_tables_are_written_in_small_batches(spark, monkeypatch):
         spark.conf.unset(name)
 
 
+def test_sets_with_a_long_common_passage_are_not_compared_with_each_other(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = " ".join(f"p{n}" for n in range(150))
+    own = [" ".join(f"o{k}x{n}" for k in range(60)) for n in range(60)]
+    rows = [(n, f"{text} {passage}") for n, text in enumerate(own)]
+    # Some have a similar one; it and the others share the passage and so many entries.
+    for n in range(6):
+        words = own[n].split()
+        words[rng.randrange(60)] = "other"
+        rows.append((100 + n, f"{' '.join(words)} {passage}"))
+    compared = []
+    monkeypatch.setattr(set_join, "SIDE", 8)
+    monkeypatch.setattr(set_join, "_possible_in", lambda cells, *rest, f=set_join._possible_in: compared.append(cells.count()) or f(cells, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = set_join.similar_components(docs, words=5, above=80).collect()
+    wanted = brute(rows, 5, 80, 100)
+    assert len({c for _, _, c in wanted}) == 60
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found], key=repr) == wanted
+    assert sum(compared) <= 2 * len(rows)  # blocks of all with all: several hundred for every entry
+
+
+def test_frequencies_keep_the_order_of_counts(spark, monkeypatch):
+    import zstandard
+
+    monkeypatch.setattr(set_join, "COUNTED", 50)  # many parts
+    monkeypatch.setattr(set_join, "PIECE", 9)
+    rows = [" ".join(["often seen words", *(["now and then"] if n % 3 else []), f"w{n} a{n} b{n}"]) for n in range(30)]
+    texts = spark.createDataFrame([(zstandard.compress(t.encode()),) for t in rows], "body binary").repartition(3)
+    known = np.frombuffer(set_join._frequencies(texts, 3, 12), np.uint8)
+    counts = np.zeros(1 << 12, np.int64)
+    for found in set_join.shingle_sets([t.encode() for t in rows], 3):
+        np.add.at(counts, found >> np.uint64(52), 1)
+    assert len(known) == 1 << 12 and counts.max() >= 30
+    assert ((known == 0) == (counts == 0)).all() and ((known == 1) == (counts == 1)).all()
+    order = np.argsort(counts, kind="stable")
+    assert (np.diff(known[order].astype(int)) >= 0).all()
+
+
+def test_gaps_of_any_size_come_back():
+    for places in ([0, 0, 254, 255, 510, 511, 511, 3000], [255], [7], [10**6, 10**6]):
+        assert set_join._places(set_join._gaps(np.array(places))).tolist() == places
+
+
+def test_large_tables_go_when_they_are_compared(spark, monkeypatch, tmp_path):
+    made = []
+    monkeypatch.setattr(tasks, "working_folder", lambda spark, purpose: made.append(purpose) or f"{tmp_path}/{purpose}-{len(made)}")
+    rows = near_copies(9, sizes=(30,))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = set_join.similar_components(docs)
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert {"set-texts", "shared-entries"} <= set(made)
+    assert not left & {"set-texts", "shared-entries", "pairs", "profiles", "cells", "left-entries", "left-cells"}
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr) == brute(rows, 3, 90, 100)
+
+
 def test_a_worker_lets_go_of_what_another_operator_kept():
     tasks.kept("a model", 1, lambda: [0] * 1000)
     tasks.give_back()
