@@ -583,6 +583,7 @@ def _left_over(unsettled: DataFrame, texts: DataFrame, counts: dict[int, int], w
             yield from flush().to_batches(65_536)
 
     index = open_.select("digest", "root", "body").mapInArrow(rarest, "entry long, digest long, root long, size long, rest long")
+    index = index.repartition("entry")  # what the windows need is worked out behind the shuffle
     window = Window.partitionBy("entry")
     # What a set could have in common with one of no shingles, times ``above + below``, less its own part of what is needed.
     spare = F.col("rest") * (above + below) - F.col("size") * above
@@ -706,7 +707,9 @@ def _compared(cells: DataFrame, texts: DataFrame, words: int, above: int, below:
 
 def _compared_at_once(cells: DataFrame, texts: DataFrame, words: int, above: int, below: int) -> DataFrame:
     let_go(texts.sparkSession)
-    rows = cells.join(texts, "digest").repartition("cell").sortWithinPartitions("cell", "digest").select("cell", "digest", "side", "root", "body")
+    # Few rows go to the texts; else both sides are shuffled.
+    cells = F.broadcast(cells) if cells.count() <= SMALL else cells
+    rows = texts.join(cells, "digest").repartition("cell").sortWithinPartitions("cell", "digest").select("cell", "digest", "side", "root", "body")
 
     def links(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
